@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from .mixing import op7_mixing
 from .quality import OP9_SQL, op9_quality_rules
 from .sharding import op2_sharding
 from .tokens import op1_token_ids
 
-QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op9_quality_rules": op9_quality_rules}
+QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op7_mixing": op7_mixing, "op9_quality_rules": op9_quality_rules}
 ORACLE = {"op9_quality_rules": OP9_SQL}
