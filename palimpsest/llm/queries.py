@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from .langid import op4_language_id
 from .mixing import op7_mixing
 from .pieces import op8_sentencepiece
 from .quality import OP9_SQL, op9_quality_rules
 from .sharding import op2_sharding
 from .tokens import op1_token_ids
 
-QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op7_mixing": op7_mixing, "op8_sentencepiece": op8_sentencepiece, "op9_quality_rules": op9_quality_rules}
+QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op4_language_id": op4_language_id, "op7_mixing": op7_mixing, "op8_sentencepiece": op8_sentencepiece, "op9_quality_rules": op9_quality_rules}
 ORACLE = {"op9_quality_rules": OP9_SQL}
