@@ -8,6 +8,7 @@ from .pieces import op8_sentencepiece
 from .quality import OP9_SQL, op9_quality_rules
 from .sharding import op2_sharding
 from .tokens import op1_token_ids
+from .topk import OP6_SQL, op6_top_k
 
-QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op4_language_id": op4_language_id, "op7_mixing": op7_mixing, "op8_sentencepiece": op8_sentencepiece, "op9_quality_rules": op9_quality_rules}
-ORACLE = {"op9_quality_rules": OP9_SQL}
+QUERIES = {"op1_token_ids": op1_token_ids, "op2_sharding": op2_sharding, "op4_language_id": op4_language_id, "op6_top_k": op6_top_k, "op7_mixing": op7_mixing, "op8_sentencepiece": op8_sentencepiece, "op9_quality_rules": op9_quality_rules}
+ORACLE = {"op6_top_k": OP6_SQL, "op9_quality_rules": OP9_SQL}
