@@ -135,3 +135,11 @@ def pieces(batches: Iterable, text: str, most: int = 1 << 21):
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+
+
+def freed(spark: SparkSession) -> None:
+    """Asks the driver's JVM to collect garbage, so that Spark's cleaner deletes shuffle files of steps that are over."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()
