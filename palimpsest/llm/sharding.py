@@ -31,7 +31,8 @@ def shard_rows(docs: DataFrame, out: str, shards: int = 16, seed: int = 20, buck
     hashed = F.xxhash64(F.lit(seed), docs[f"`{id_col}`"], text)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
     total = docs.select(size.alias("size")).agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
-    buckets = max(1, -(-total.bytes // bucket_bytes))
+    # As many as fit in memory, and enough for all cores on a small table.
+    buckets = max(1, -(-total.bytes // bucket_bytes), min(total.n // 100, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     bucket = F.pmod(F.shiftright(hashed, 8), F.lit(buckets)).cast("int")
 
     counts = docs.select(bucket.alias("bucket")).groupBy("bucket").count()
@@ -39,7 +40,7 @@ def shard_rows(docs: DataFrame, out: str, shards: int = 16, seed: int = 20, buck
     offsets = counts.select("bucket", (F.sum("count").over(W.orderBy("bucket")) - F.col("count")).alias("offset"))
 
     scattered = docs.select(bucket.alias("bucket"), F.struct(hashed.alias("hashed"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record")).alias("item"))
-    lists = scattered.repartition(buckets, "bucket").groupBy("bucket").agg(F.collect_list("item").alias("items"))
+    lists = scattered.repartitionById(buckets, F.col("bucket")).groupBy("bucket").agg(F.collect_list("item").alias("items"))
     shuffled = (
         lists.join(F.broadcast(offsets) if buckets <= 100_000 else offsets, "bucket")
         .sortWithinPartitions("bucket")
