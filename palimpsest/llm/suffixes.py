@@ -8,6 +8,10 @@ one side of it have in common; their hash is the bucket. Neighbouring windows mo
 one entry. Only buckets with two entries or more are sorted, and only their bytes are moved; strings that are equal over a
 whole run are found by their hashes, so a passage that thousands of documents share costs a task one copy of it.
 
+A bucket of more than HOT entries is dealt anew: its runs are cut into pieces of FINE windows, by their distance to the
+anchor, and what a piece's windows have in common, all but FINE - 1 of their LENGTH bytes, names its bucket. So strings
+that many documents share, but too short to go, don't bring their surroundings together in one task.
+
 Buckets are sorted a bounded number of bytes at a time (UNIT_BYTES), depth-limited to LENGTH: suffixes are split by their
 first COVER bytes, and longer ties are resolved by the ranks of the suffixes at a difference cover modulo COVER, which are
 computed ahead by doubling: for any two suffixes there is a distance below COVER at which both are in the cover. Equal
@@ -31,6 +35,7 @@ from .lines import BASE_2, INVERSE_2
 LENGTH, GRAM, COVER = 400, 48, 40
 UNIT_BYTES, SLICE_BYTES = 2 << 20, 2 << 20
 POSITION_BITS = 26
+HOT, FINE = 2000, 22
 
 
 def cover(v: int) -> np.ndarray:
@@ -84,7 +89,7 @@ class Runs:
         self.data = data = np.frombuffer(b"".join(texts), np.uint8)
         base = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         empty = np.empty(0, np.int64)
-        self.text, self.place, self.number, self.key, self.at = empty, empty, empty, empty, empty
+        self.text, self.place, self.number, self.key, self.at, self.anchor = [empty] * 6
         self.sums = None
         if len(data) < LENGTH:
             return
@@ -105,7 +110,19 @@ class Runs:
         low, high = np.where(side, a, a - half - 1), np.where(side, a + LENGTH - half, a + GRAM)
         with np.errstate(over="ignore"):
             self.key = mix(hash_of(self.sums, INVERSE, low, high) + side.astype(U64)).view(np.int64)
-        self.text, self.place, self.number, self.at = of[p], p - base[of[p]], number, p
+        self.text, self.place, self.number, self.at, self.anchor = of[p], p - base[of[p]], number, p, a
+
+    def fine(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs k in pieces of FINE windows at most: (run, distance of the first window, number of windows, bucket key)."""
+        near, far = self.anchor[k] - self.at[k] - self.number[k] + 1, self.anchor[k] - self.at[k]
+        count = far // FINE - near // FINE + 1
+        run = np.repeat(np.arange(len(k)), count)
+        piece = near[run] // FINE + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        high, low = np.minimum(far[run], piece * FINE + FINE - 1), np.maximum(near[run], piece * FINE)
+        begin = self.anchor[k][run] - piece * FINE
+        with np.errstate(over="ignore"):
+            key = mix(hash_of(self.sums, INVERSE, begin, begin + LENGTH - FINE + 1) + (piece + 2).astype(U64)).view(np.int64)
+        return k[run], far[run] - high, high - low + 1, key
 
 
 def sorted_classes(order_keys: list[np.ndarray], groups: np.ndarray) -> np.ndarray:
@@ -214,14 +231,21 @@ def _blocks(rows: DataFrame) -> DataFrame:
                 continue
             # Runs of a text in order of place: those asked for.
             lists = part.column(3)
-            asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | lists.flatten().to_numpy()
+            wanted = lists.flatten()
+            asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
+            hot = asked[wanted.field("hot").to_numpy(zero_copy_only=False)]
             k = np.flatnonzero(np.isin(x.text << 32 | x.place, asked))
-            a, size = x.at[k], x.number[k] + LENGTH - 1
+            split = np.isin(x.text[k] << 32 | x.place[k], hot)
+            whole_runs = k[~split]
+            k, skip, number, fine_key = x.fine(k[split])
+            skip, number = np.concatenate([np.zeros(len(whole_runs), np.int64), skip]), np.concatenate([x.number[whole_runs], number])
+            keys = np.concatenate([x.key[whole_runs], fine_key])
+            k = np.concatenate([whole_runs, k])
+            a, size, place = x.at[k] + skip, number + LENGTH - 1, x.place[k] + skip
             first_hash = hash_of(x.sums, INVERSE, a, a + size)
             other = hash_of(sums_of(x.data, BASE_2), INVERSE_2, a, a + size)
-            order = np.lexsort((other, first_hash, x.key[k]))
-            k, a, size, first_hash, other = k[order], a[order], size[order], first_hash[order], other[order]
-            key = x.key[k]
+            order = np.lexsort((other, first_hash, keys))
+            k, a, size, place, key, first_hash, other = k[order], a[order], size[order], place[order], keys[order], first_hash[order], other[order]
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (first_hash[1:] != first_hash[:-1]) | (other[1:] != other[:-1])]) if len(k) else np.empty(0, bool)
             many = np.zeros(len(k), bool)
             many[np.flatnonzero(new)[np.cumsum(new)[~new] - 1]] = True
@@ -232,7 +256,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
                     t = pa.array(x.text[k[i]])
                     content = pa.array([data[p:q] for p, q in zip(a[i].tolist(), (a[i] + size[i]).tolist(), strict=True)] if whole else [None] * len(i), pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[i]), pa.array(first_hash[i].view(np.int64) if whole else size[i]), part.column(0).take(t), part.column(1).take(t), pa.array(x.place[k[i]], pa.int64()), pa.array(many[i]), content],
+                        [pa.array(key[i]), pa.array(first_hash[i].view(np.int64) if whole else size[i]), part.column(0).take(t), part.column(1).take(t), pa.array(place[i], pa.int64()), pa.array(many[i]), content],
                         ["key", "hash", "id", "row", "place", "many", "bytes"],
                     )
 
@@ -261,7 +285,8 @@ def _intervals(blocks: DataFrame) -> DataFrame:
             for x in items:
                 if x[4]:
                     rows.append((x[1], x[2], x[3], x[3] + len(x[5])))
-                if alone[x[0]] > 1 or not x[4] and len(x[5]) > LENGTH:
+                # Windows of one run are never equal, as their distances to the anchor differ.
+                if alone[x[0]] > 1:
                     sort.append(x)
             if sort:
                 _, groups = np.unique(np.array([x[0] for x in sort]), return_inverse=True)
@@ -333,8 +358,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     heads = names.select("head.id", "head.row")
     runs = written(_runs(long.select("id", "row", "text")), "runs")
     freed(docs.sparkSession)
-    twice = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    asked = runs.join(twice, "key", "left_semi").groupBy("row", "id").agg(F.collect_set("place").alias("places"))
+    twice = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
+    asked = runs.join(twice, "key").groupBy("row", "id").agg(F.collect_set(F.struct("place", "hot")).alias("places"))
     asked = asked.join(heads, same(asked, heads), "left_semi")
     asked = written(asked, "asked")
     freed(docs.sparkSession)
