@@ -27,6 +27,7 @@ from .common import WORD, written
 WEIGHTS = (5, 2, 1)
 SHARE, MAX_COPIES = 1.5, 2
 MAX_PATTERNS = 100_000
+#: Rows for each pattern are broadcast; MAX_PATTERNS bounds them to some MB.
 #: Documents of a pattern that are left for the driver to fill in, and hash bits counted at a level.
 LAST_DOCS, LEVEL_BITS = 256, 8
 
@@ -115,7 +116,7 @@ class Mix:
     def copies(self, rows: DataFrame) -> DataFrame:
         """rows with __pattern and __hash: adds __copies and the pattern's columns."""
         extra = self.extras.withColumn("__extra", F.lit(1))
-        joined = rows.join(self.patterns, "__pattern", "left").join(extra, ["__pattern", "__hash"], "left")
+        joined = rows.join(F.broadcast(self.patterns), "__pattern", "left").join(extra, ["__pattern", "__hash"], "left")
         more = (F.col("__hash") < F.col("__cut")) | F.col("__extra").isNotNull()
         return joined.withColumn("__copies", (F.coalesce("__epochs", F.lit(0)) + F.coalesce(more, F.lit(False)).cast("int")).cast("int"))
 
@@ -160,7 +161,7 @@ def plan_mix(sized: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, m
     while searched:
         last = {k for k, v in searched.items() if v[3] <= LAST_DOCS or shift == 0}
         bounds = spark.createDataFrame([(k, v[0], v[1] - 1) for k, v in searched.items()], "__pattern string, low long, high long")
-        inside = sized.join(bounds, "__pattern").where(F.col("__hash").between(F.col("low"), F.col("high")) & (F.col("__size") > 0))
+        inside = sized.join(F.broadcast(bounds), "__pattern").where(F.col("__hash").between(F.col("low"), F.col("high")) & (F.col("__size") > 0))
         if last:
             # At most LAST_DOCS hashes for each pattern; rows of an equal hash are equal, and taken or left together.
             rows = inside.where(F.col("__pattern").isin(sorted(last)) if len(last) < len(searched) else F.lit(True)).groupBy("__pattern", "__hash").agg(F.sum("__size").alias("size")).collect()
