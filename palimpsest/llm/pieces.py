@@ -19,6 +19,7 @@ import struct
 import zlib
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
 THREADS = 2
-KEPT_WORDS, KEPT_CHARS = 200_000, 32
+KEPT_WORDS, KEPT_CHARS = 300_000, 32
 
 
 def fields(data: bytes):
@@ -123,8 +124,9 @@ def build(m: Model):
         steps.append(normalizers.Prepend(MARK))
     steps.append(normalizers.Replace(" ", MARK))
     tokenizer = Tokenizer(model)
-    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *[decoders.Strip(" ", 1, 0)] * m.dummy_prefix])
-    return tokenizer, normalizers.Sequence(steps), not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in plain)
+    tokenizer.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " "), *[decoders.Strip(" ", 1, 0)] * m.dummy_prefix])
+    cuts = m.dummy_prefix and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in plain)
+    return tokenizer, normalizers.Sequence(steps), cuts
 
 
 class Codec:
@@ -140,6 +142,11 @@ class Codec:
         # Without a character map or squeezing, normalising is these two string operations.
         self.lead = None if m.charsmap or m.squeeze else MARK * m.dummy_prefix
         self.kept: dict[str, bytes] = {}
+        # An ASCII byte is a character; other bytes, and control pieces, are left to the library's decoder.
+        byte = [int(p[3:5], 16) if kind == BYTE else None for p, _, kind in m.pieces]
+        self.table = [p.replace(MARK, " ") if b is None else chr(b) for (p, _, _), b in zip(m.pieces, byte, strict=True)]
+        self.special = np.array([kind in (CONTROL, UNKNOWN) or b is not None and b > 0x7F for (*_, kind), b in zip(m.pieces, byte, strict=True)])
+        self.dummy_prefix = m.dummy_prefix
 
     def normalize(self, text: str) -> str:
         if self.lead is not None:
@@ -147,34 +154,55 @@ class Codec:
         return self.normalizer.normalize_str(text)
 
     def encode(self, texts: list[str]) -> list[array.array]:
-        """Ids as array('I'), with one entry in `kept` for each word that recurs."""
-        parts = [self._words(self.normalize(t)) if t else [] for t in texts]
+        """Ids as array('I'). `kept` has the ids of words that recur, by the word without its first marker."""
+        parts = [self._words(t) for t in texts]
+        used = set().union(*parts)
+        new = list(used.difference(self.kept))
         if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
-        kept, long = self.kept, {}
-        new = list(set().union(*parts).difference(kept))
+            # Words that have come up before, and do again, are the common ones.
+            self.kept = {w: self.kept[w] for w in used.difference(new)}
+        kept, lead = self.kept, MARK if self.cuts else ""
         for a in range(0, len(new), 4096):
             batch = new[a : a + 4096]
-            for w, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                (kept if len(w) <= KEPT_CHARS else long)[w] = array.array("I", e.ids).tobytes()
-        find = (lambda w: kept[w] if w in kept else long[w]) if long else kept.__getitem__
-        return [array.array("I", b"".join(map(find, ws))) for ws in parts]
+            for w, e in zip(batch, self.tokenizer.encode_batch_fast([lead + w for w in batch], add_special_tokens=False), strict=True):
+                kept[w] = array.array("I", e.ids).tobytes()
+        out = [array.array("I", b"".join([kept[w] for w in ws])) for ws in parts]
+        for w in new:
+            if len(w) > KEPT_CHARS:
+                del kept[w]
+        return out
 
     def _words(self, text: str) -> list[str]:
-        if not self.cuts:
+        """What stands behind each run's first marker; the whole normalised text if it can't be cut."""
+        if not text:
+            return []
+        if self.cuts and self.lead == MARK and "" not in (words := text.split(" ")):
+            return words
+        text = self.normalize(text)
+        if not self.cuts or not text.startswith(MARK):
+            if self.cuts and text:
+                raise ValueError("a normalised text begins without a marker")
             return [text] if text else []
-        first, *rest = text.split(MARK)
-        words, lead = [first] if first else [], ""
+        words, lead = [], ""
         # A run of markers stays together with the word behind it.
-        for w in rest:
-            lead += MARK
+        for w in text.split(MARK)[1:]:
             if w:
                 words.append(lead + w)
                 lead = ""
-        return [*words, lead] if lead else words
-
-    def decode(self, ids: list) -> list[str]:
-        return self.tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+            else:
+                lead += MARK
+        return [*words, lead[1:]] if lead else words
+
+    def decode(self, ids: list[array.array]) -> list[str]:
+        """Pieces put together by the model's table; where several bytes make a character, by the library's decoder."""
+        table, out = self.table, []
+        for i in ids:
+            if self.special[np.frombuffer(i, np.uint32)].any():
+                out.append(self.tokenizer.decode(i.tolist(), skip_special_tokens=False))
+            else:
+                text = "".join([table[k] for k in i])
+                out.append(text[1:] if self.dummy_prefix and text.startswith(" ") else text)
+        return out
 
 
 _codecs: dict = {}
@@ -190,50 +218,35 @@ def codec(model: str, threads: int = THREADS) -> tuple[Codec, object]:
     return _codecs[model, threads]
 
 
-def encode_pieces(docs: DataFrame, model: str, threads: int = THREADS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array of int), decoded (the text that they give back), parity."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        ours, library = codec(model, threads)
-        for part in pieces(batches, "text"):
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            ids, checked = ours.encode(texts), library.encode(texts, num_threads=threads)
-            same = [a.tolist() == b for a, b in zip(ids, checked, strict=True)]
-            ids = [a if ok else array.array("I", b) for a, b, ok in zip(ids, checked, same, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([i.tolist() for i in ids], pa.list_(pa.int32())), pa.array(ours.decode(ids), pa.string()), pa.array(same)], ["doc_id", "ids", "decoded", "parity"])
-
-    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string, parity boolean")
-
-
-def digest_pieces(docs: DataFrame, model: str, threads: int = THREADS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """encode_pieces() reduced in the same tasks: doc_id, n_tokens, ids_crc32, decoded_crc32, round_trip, parity.
+def encode_pieces(docs: DataFrame, model: str, threads: int = THREADS, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32, decoded_crc32, round_trip, parity, and the ids (array of int) themselves if asked for.
 
-    ids_crc32 is over the ids as little-endian unsigned 32-bit integers; round_trip says that decoding gives the text.
+    ids_crc32 is over the ids as little-endian unsigned 32-bit integers, decoded_crc32 over the UTF-8 of the text that they
+    give back; round_trip says that this is the document's text.
     """
 
     def run(batches):
         import pyarrow as pa
 
         ours, library = codec(model, threads)
+        names = ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity", "ids"]
         for part in pieces(batches, "text"):
             texts = [t or "" for t in part.column(1).to_pylist()]
             ids, checked = ours.encode(texts), library.encode(texts, num_threads=threads)
             same = [a.tolist() == b for a, b in zip(ids, checked, strict=True)]
             ids = [a if ok else array.array("I", b) for a, b, ok in zip(ids, checked, same, strict=True)]
             back = ours.decode(ids)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(map(len, ids), pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array([zlib.crc32(t.encode()) for t in back], pa.int64()), pa.array([a == b for a, b in zip(back, texts, strict=True)]), pa.array(same)],
-                ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity"],
-            )
+            columns = [part.column(0), pa.array(map(len, ids), pa.int64()), pa.array([zlib.crc32(i) for i in ids], pa.int64()), pa.array([zlib.crc32(t.encode()) for t in back], pa.int64()), pa.array([a == b for a, b in zip(back, texts, strict=True)], pa.bool_()), pa.array(same, pa.bool_())]
+            if with_ids:
+                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean" + ", ids array<int>" * with_ids)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digest_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encode_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
