@@ -19,6 +19,7 @@ Nulls: a null text has no ids but the end id; null ids sort first. Rows of the s
 from __future__ import annotations
 
 import array
+import os
 import re
 import struct
 import zlib
@@ -37,36 +38,121 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_IDS = 1 << 18
-#: A space between two characters that aren't white space begins a word of byte-level BPE, so text can be cut there.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Little-endian machines are assumed. Pieces kept by a worker, about 100 MB, and the longest of them.
-CACHED_PIECES, CACHED_CHARS = 400_000, 48
+#: Little-endian machines are assumed. Pieces kept by a worker, about 150 MB, and the longest of them.
+CACHED_PIECES, CACHED_CHARS = 700_000, 32
+SLICE_BYTES = 8 << 20
+#: Marks that stand for ".\n", "." and "," after a letter, and for the lack of a space before a piece.
+DOT_LINE, DOT, COMMA, GLUED = "\ue000", "\ue001", "\ue002", "\ue003"
+MARKS = {DOT_LINE: ".\n", DOT: ".", COMMA: ",", GLUED: ""}
+MARKED = re.compile("[\ue000-\ue003]")
+#: Full stops and commas that don't follow a letter.
+WIDE = re.compile(r"\s\s")
+NOT_CUT = re.compile(r"[.,](?<![^\W\d_][.,])")
 
 
 class Encoder:
-    """Whole texts to bytes of ids, through the tokenizers library; pieces between words are encoded once and kept."""
+    """Whole texts to bytes of ids, through the tokenizers library; pieces between words are encoded once and kept.
+
+    Byte-level BPE begins a word at a space between two characters that aren't white space, at "." or "," after a letter,
+    and after a line's end. A text is cut there by string operations alone, or at spaces only where such punctuation follows
+    other characters. Texts with other white space are encoded whole.
+    """
 
     def __init__(self, path: str):
+        # Tasks share out the cores; threads of the library's own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        # A token of byte-level BPE has a character for each byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)
+        self.kept: dict[str, bytes | None] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        # Each piece but the first begins with the space that CUT took.
-        cut = [CUT.split(t) for t in texts]
-        cut = [[ps[0], *[" " + p for p in ps[1:]]] for ps in cut]
+        cut = [self._cut(t) for t in texts]
+        used = set().union(*filter(None, cut))
+        new = used.difference(self.kept)
         if len(self.kept) > CACHED_PIECES:
-            self.kept = {}
-        kept, long = self.kept, {}
-        new = list(set().union(*cut).difference(kept))
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (kept if len(p) <= CACHED_CHARS else long)[p] = array.array("I", e.ids).tobytes()
-        if long:
-            return [b"".join([kept[p] if p in kept else long[p] for p in ps]) for ps in cut]
-        return [b"".join([kept[p] for p in ps]) for ps in cut]
+            # Pieces that have come up before, and do again, are the common ones.
+            self.kept = {p: self.kept[p] for p in used.difference(new)}
+        kept = self.kept
+        kept.update(self._pieces(new))
+        out, whole = [], []
+        for i, ps in enumerate(cut):
+            try:
+                out.append(b"".join([kept[p] for p in ps]) if texts[i] else b"")
+            except TypeError:
+                # No cut was made, or a piece says that there should have been none.
+                out.append(b"")
+                whole.append(i)
+        for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
+            out[i] = array.array("I", e.ids).tobytes()
+        for p in [p for p in new if len(p) > CACHED_CHARS]:
+            del kept[p]
+        return out
+
+    @staticmethod
+    def _cut(text: str) -> list[str] | None:
+        if not text.isascii() and MARKED.search(text):
+            return None
+        if not NOT_CUT.search(text):
+            text = text.replace(".\n", f" {DOT_LINE} {GLUED}").replace(". ", f" {DOT} ").replace(",", f" {COMMA}")
+        return (GLUED + text).split(" ")
+
+    def _pieces(self, new: set[str]) -> dict[str, bytes | None]:
+        """The ids of each piece; None for one that shows that its text can't be cut."""
+        found: dict[str, bytes | None] = {}
+        glued = [p for p in new if not p or p[0] in MARKS]
+        spaced = list(new.difference(glued))
+        for a in range(0, len(glued), 4096):
+            part = []
+            for p in glued[a : a + 4096]:
+                if not p or p == GLUED or p[-1].isspace() or p[0] == GLUED and p[1].isspace():
+                    found[p] = None
+                else:
+                    part.append(p)
+            for p, e in zip(part, self.tokenizer.encode_batch_fast([self._text(p) for p in part], add_special_tokens=False), strict=True):
+                found[p] = array.array("I", e.ids).tobytes()
+        for a in range(0, len(spaced), 4096):
+            part = spaced[a : a + 4096]
+            row = " " + " ".join(part)
+            if WIDE.search(row + "x"):
+                found.update((p, None) for p in part if p[0].isspace() or p[-1].isspace())
+                part = [p for p in part if p not in found]
+                row = " " + " ".join(part)
+            if not part:
+                continue
+            # Pieces that begin with a space keep their tokens in a row of pieces: the tokens' sizes tell which are whose.
+            ids = np.array(self.tokenizer.encode_batch_fast([row], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+            data = np.frombuffer(row.encode(), np.uint8)
+            begins = np.append(np.flatnonzero(data == 32), len(data))
+            cuts = np.searchsorted(ends, begins)
+            if not np.array_equal(ends[cuts], begins):
+                raise ValueError("the tokens of the pieces don't add up")
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            found.update(zip(part, [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)], strict=True))
+        return found
+
+    @staticmethod
+    def _text(piece: str) -> str:
+        for mark, text in MARKS.items():
+            if mark in piece:
+                piece = piece.replace(mark, text)
+        return piece
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker process, so that pieces are kept from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 class FileWriter:
@@ -158,7 +244,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, id_
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, context, end = Encoder(tokenizer), TaskContext.get(), np.array([end_id], "<u4").tobytes()
+        encode, context, end = encoder(tokenizer), TaskContext.get(), np.array([end_id], "<u4").tobytes()
         fs, folder = fs_of(out)
         fs.create_dir(folder, recursive=True)
         name = f"{folder}/part-{context.partitionId():06d}.ids.zst"
@@ -167,7 +253,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, id_
 
         with fs.open_output_stream(attempt) as stream:
             writer = FileWriter(stream)
-            for part in pieces(batches, "text"):
+            for part in pieces(batches, "text", SLICE_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for i, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
                     writer.add(i, ids + end)
