@@ -144,7 +144,10 @@ class Engine:
             out.begin = self.mark(self.target, name)
             if template.source_form == "NON":
                 out.end = snapshot_mark(bound, None, None)
-            if out.begin >= out.end and bound != OPEN:
+            elif template.source_form in ("LAK", "OLD"):
+                # A history knows itself how far it goes.
+                out.end = min(bound, self.mark(self.source, name))
+            if out.begin >= out.end:
                 out.outcome = "Pass"
                 return out
             context = Context(keys, out.begin, out.end, times=times, at=synthetic(source.sparkSession, out.begin, out.end, bound).first()[FROM], load=out.end)
