@@ -29,11 +29,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, INVERSE, U64, freed, mix, pieces, powers, written
+from .common import BASE, BYTE_VALUES, INVERSE, U64, dropped, freed, mix, pieces, powers, written
 from .lines import BASE_2, INVERSE_2
 
 LENGTH, GRAM, COVER = 400, 48, 40
-UNIT_BYTES, SLICE_BYTES = 2 << 20, 2 << 20
+UNIT_BYTES, SLICE_BYTES = 1 << 20, 1 << 20
 POSITION_BITS = 26
 HOT, FINE = 2000, 22
 
@@ -200,17 +200,21 @@ def _bytes(part, k: int) -> list[bytes]:
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """rows: id, row, text. The runs of all texts, without their bytes."""
+    """rows: id, row, text. The runs of all texts, without their bytes; one row for each text and bucket."""
 
     def run(batches):
         import pyarrow as pa
 
         for part in pieces(batches, "text", SLICE_BYTES):
             x = Runs(_bytes(part, 2))
-            t = pa.array(x.text)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(t), part.column(1).take(t), pa.array(x.key), pa.array(x.place, pa.int64())], ["id", "row", "key", "place"])
+            order = np.lexsort((x.place, x.key, x.text))
+            text, key, place = x.text[order], x.key[order], x.place[order]
+            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.empty(0, np.int64)
+            t = pa.array(text[first])
+            places = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(t), part.column(1).take(t), pa.array(key[first]), places], ["id", "row", "key", "places"])
 
-    return rows.where(f"octet_length(text) >= {LENGTH}").mapInArrow(run, "id long, row long, key long, place long")
+    return rows.where(f"octet_length(text) >= {LENGTH}").mapInArrow(run, "id long, row long, key long, places array<long>")
 
 
 _BLOCK = "key long, hash long, id long, row long, place long, many boolean, bytes binary"
@@ -358,19 +362,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     heads = names.select("head.id", "head.row")
     runs = written(_runs(long.select("id", "row", "text")), "runs")
     freed(docs.sparkSession)
-    twice = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
-    asked = runs.join(twice, "key").groupBy("row", "id").agg(F.collect_set(F.struct("place", "hot")).alias("places"))
+    twice = runs.groupBy("key").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
+    wanted = runs.join(twice, "key").select("row", "id", F.transform("places", lambda p: F.struct(p.alias("place"), F.col("hot").alias("hot"))).alias("places"))
+    asked = wanted.groupBy("row", "id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     asked = asked.join(heads, same(asked, heads), "left_semi")
     asked = written(asked, "asked")
+    dropped(runs)
     freed(docs.sparkSession)
     one = long.select("id", "row", "text")
     chosen = one.join(asked, same(one, asked)).groupBy(one["row"], one["id"]).agg(F.first("text").alias("text"), F.first("places").alias("places")).select("id", "row", "text", "places")
     blocks = written(_blocks(chosen), "blocks")
+    dropped(asked)
     freed(docs.sparkSession)
     known = blocks.where("bytes IS NULL").select("id", "row", F.col("place").alias("begin"), (F.col("place") + F.col("hash")).alias("end"))
     sent = blocks.where("bytes IS NOT NULL").repartition("key").sortWithinPartitions("key", "hash", "bytes")
     found = _intervals(sent).unionByName(known)
     spans = written(found.groupBy("row", "id").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
+    dropped(blocks)
     freed(docs.sparkSession)
     # Copies are known by their text, the others' spans by their row; both are narrow, so the texts move once.
     copies = names.where("n > 1").select(F.col("t1").alias("x1"), F.col("t2").alias("x2"))
