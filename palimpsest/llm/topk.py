@@ -105,7 +105,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block_rows: int =
                     i, j, s = map(np.array, zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(query_ids[i]), pa.array(ids[j]), pa.array(s, pa.int64())], ["query_id", "vec_id", "score"])
 
-    pairs = asked.join(candidates, (asked.c == candidates.c) & (asked.q_d == candidates.c_d)).select("c_items", "q_items")
+    # Blocks aren't broadcast: their number grows with the table.
+    pairs = asked.hint("merge").join(candidates, (asked.c == candidates.c) & (asked.q_d == candidates.c_d)).select("c_items", "q_items")
     found = pairs.repartition(min(blocks * parts, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(run, "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
