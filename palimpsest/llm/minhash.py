@@ -7,10 +7,12 @@ comes later than the latest register, so after the first few hundred shingles mo
 a slice run together, arrival by arrival.
 
 Documents of equal text are one node. Nodes that agree in all registers of a band share a bucket. A bucket's members are
-first compared to one of them (by an aggregation and a join, which Spark can split for a bucket of any size), the links
-are joined to components, and only buckets whose members still are in several components go on: there, the members of
-different components are compared. So links between different texts of one bucket are lost only if they wouldn't change
-a component, and a large group of copies costs one comparison for each member and bucket.
+first compared to its head, the member that shares its buckets with the most others; in a group of copies that is the text
+they stem from. Counts and heads are aggregations, and a bucket of any size is joined to its head by a join that Spark can
+split. The links are joined to components. All nodes that were compared to one head make a cluster; where a cluster still
+has several components, members of different ones are compared, in blocks of at most BLOCK by BLOCK, by a product of
+incidence matrices, and only links that join components leave a block. So no link is lost between nodes that share a
+bucket, but for those that wouldn't change a component, and pairs are never rows.
 
 Pairs are dropped early if their signatures agree in less than SIGNATURE_SHARE of the registers (for similar pairs that is
 over 7 standard deviations off), and verified by the exact Jaccard similarity of their shingles' 64-bit hashes.
@@ -26,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, freed, mix, pieces, written
+from .common import U64, dropped, freed, mix, pieces, written
 from .components import components
 from .lines import Lines
 
@@ -34,6 +36,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
 SIGNATURE_SHARE = 0.55
 SLICE_BYTES = 4 << 20
+#: Nodes of a block, and shingles of a matrix product, when a cluster's components are compared.
+BLOCK, COLUMNS = 512, 2048
 
 
 def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,6 +160,81 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, set binary")
 
 
+def _forest(nodes: list[int], component: list[int], sets: list[np.ndarray], least: float, split: int) -> list[tuple[int, int]]:
+    """Links between members of different components, as few as join them; members before `split` with those from it on
+    (all with all if it is 0)."""
+    n = len(nodes)
+    sizes = np.array([len(x) for x in sets])
+    where = np.repeat(np.arange(n), sizes)
+    values, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = df[column] > 1
+    where, column = where[common], np.unique(column[common], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    where, column = where[order], column[order]
+    width = int(column[-1]) + 1 if len(column) else 0
+    overlap = np.zeros((n, n), np.float32)
+    for low in range(0, width, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[where[a:b], column[a:b] - low] = 1
+        overlap += part @ part.T
+    similar = overlap >= least * (sizes[:, None] + sizes[None, :] - overlap) * (1 - 1e-7)
+    root = {c: c for c in component}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links = []
+    for x, y in zip(*np.nonzero(np.triu(similar, 1)), strict=True):
+        if (not split or x < split <= y) and (p := top(component[x])) != (q := top(component[y])):
+            # The matrix is of single precision; sizes below 2**24 are exact, and this decides.
+            if (k := len(np.intersect1d(sets[x], sets[y], assume_unique=True))) >= least * (len(sets[x]) + len(sets[y]) - k) * (1 - 1e-12):
+                root[p] = q
+                links.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+    return links
+
+
+def _within(clusters: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """clusters: head, node, component, n (nodes of the cluster). Links between the components of each cluster."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    # A copy of each member for each block that its own meets.
+    rows = clusters.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("head", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component").join(sets, "node")
+    parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "head", "i", "j").sortWithinPartitions("head", "i", "j", "mine", "node").select("head", "i", "j", "mine", "node", "component", "set")
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list = []
+
+        def solve():
+            sides = [x[0] for x in held]
+            split = next((k for k, m in enumerate(sides) if m != sides[0]), 0)
+            return _forest([x[1] for x in held], [x[2] for x in held], [np.frombuffer(x[3], np.int64) for x in held], least, split)
+
+        last, links = None, []
+        for batch in batches:
+            for head, i, j, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if last != (head, i, j):
+                    # Two blocks of which one is empty have been compared within themselves.
+                    if last and (last[1] == last[2] or held[0][0] != held[-1][0]) and len({x[2] for x in held}) > 1:
+                        links += solve()
+                    last, held = (head, i, j), []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+            links = []
+        if last and (last[1] == last[2] or held[0][0] != held[-1][0]) and len({x[2] for x in held}) > 1:
+            links = solve()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, row, class_id (the least id of its class), first (whether the row is the one that stays of its class).
 
@@ -168,44 +247,41 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS,
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "head.id", "head.row", "t1", "t2", "bands", "signature"), "nodes")
     freed(spark)
 
-    # Buckets of two nodes or more, with the member that all others are compared to: another one in each bucket.
-    members = nodes.select("node", F.explode("bands").alias("key"))
-    chance = F.xxhash64("key", "node")
-    heads = members.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(chance.alias("chance"), F.col("node").alias("head"))).alias("h")).where("n > 1").select("key", "h.head")
-    members = written(members.join(heads, "key"), "members")
+    # Buckets of two nodes or more; each one's head is the member with the most company over all of its buckets.
+    every = nodes.select("node", F.explode("bands").alias("key"))
+    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(every.join(shared, "key"), "members")
     freed(spark)
-    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    pairs = _likely(members.where("node <> head").select(*ordered("node", "head")).distinct(), nodes)
-    sets = None
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return written(_similar(pairs, sets, least), "links")
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    heads = members.select("key", "node").join(company, "node").groupBy("key").agg(F.max(F.struct("company", F.xxhash64("node").alias("h"), "node")).alias("head")).select("key", F.col("head.node").alias("head"))
+    clusters = written(members.join(heads, "key").select("head", "node").distinct(), "clusters")
+    dropped(members)
+    freed(spark)
+    pairs = clusters.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    pairs = written(_likely(pairs, nodes), "pairs")
 
-    wanted = members.select("node").distinct()
-    texts = base.where("text IS NOT NULL").join(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("i"), F.col("row").alias("r")), (F.col("row") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "text").dropDuplicates(["node"])
-    pairs = written(pairs, "pairs")
+    wanted = clusters.select("node").distinct()
+    owners = nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("i"), F.col("row").alias("r"))
+    texts = base.where("text IS NOT NULL").join(owners, (F.col("row") == F.col("r")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "text").dropDuplicates(["node"])
     sets = written(_sets(texts), "sets")
     freed(spark)
-    links = verified(pairs)
+    links = written(_similar(pairs, sets, least), "links")
     found = components(links)
 
-    # Buckets that still hold several components: members of different ones are compared.
-    placed = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rest = written(placed.join(mixed, "key", "left_semi"), "rest")
-    left, right = rest, rest.select("key", F.col("node").alias("other"), F.col("component").alias("other_component"))
-    cross = left.join(right, "key").where("node < other AND component <> other_component").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    cross = written(_likely(cross.join(pairs, ["a", "b"], "left_anti"), nodes), "pairs")
+    # Clusters of three nodes or more that still hold several components.
+    placed = clusters.join(found, "node", "left").select("head", "node", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("head").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high AND n > 2").select("head", "n")
+    more = written(_within(placed.join(mixed, "head"), sets, least), "links")
+    dropped(sets)
     freed(spark)
-    more = verified(cross)
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
     classes = nodes.join(found, "node", "left").select("node", "id", "row", "t1", "t2", F.coalesce("component", "node").alias("component"))
     head = classes.groupBy("component").agg(F.min(F.struct("id", "row")).alias("head"))
     named = classes.join(head, "component").select("t1", "t2", "head")
-    every = signed.select("id", "row", F.when(F.col("bands").isNotNull(), F.col("t1")).alias("t1"), "t2").distinct()
-    joined = every.join(named, ["t1", "t2"], "left")
+    texts = signed.select("id", "row", F.when(F.col("bands").isNotNull(), F.col("t1")).alias("t1"), "t2").distinct()
+    joined = texts.join(named, ["t1", "t2"], "left")
     return joined.select("id", "row", F.when(F.col("head").isNull(), F.col("id")).otherwise(F.col("head.id")).alias("class_id"), F.coalesce(F.col("head") == F.struct("id", "row"), F.lit(True)).alias("first"))
 
 
