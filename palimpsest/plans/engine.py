@@ -7,15 +7,16 @@ import traceback
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import EPOCH, FROM, LAKE, OPEN, PUBLISHED, ChangeSet
-from ..operators import extract, transitions
+from ..model import EPOCH, FROM, LAKE, LOAD, OPEN, PUBLISHED, TO, ChangeSet
+from ..operators import extract, timemap, transitions
+from ..operators.maintenance import retain, retention_date, rollback, rollback_counts
 from ..operators.metadata import lake_mark, snapshot_mark
-from ..operators.schema_sync import plan_table
+from ..operators.schema_sync import TablePlan, evolve, plan_table
 from ..operators.timemap import synthetic
 from ..sources.store import Store
 
@@ -77,6 +78,10 @@ class Outcome:
     deleted: int = 0
     seconds: float = 0.0
     error: str | None = None
+    started: datetime = EPOCH
+
+
+LOG = "BatchDate timestamp_ntz, Batch string, Task string, DatabaseName string, SchemaName string, ObjectName string, Outcome string, StartTime timestamp_ntz, EndTime timestamp_ntz, FromDate timestamp_ntz, ToDate timestamp_ntz, InsertCount long, UpdateCount long, DeleteCount long, ErrorMessage string"
 
 
 @dataclass
@@ -125,13 +130,15 @@ class Engine:
         run = Batch(task, self.complete(self.target), bound, dry_run)
         with ThreadPoolExecutor(max(1, self.parallel)) as pool:
             run.outcomes = list(pool.map(lambda n: self._one(template, n, bound, (keys or {}).get(n), times, batch, dry_run), names))
-        if not dry_run and not run.failed and tables is None:
-            self._advance(bound)
+        if not dry_run:
+            self._log(run)
+            if not run.failed and tables is None:
+                self._advance(bound)
         return run
 
     def _one(self, template: Template, name: str, bound: datetime, key: list[str] | None, times, batch, dry_run) -> Outcome:
         began = time.time()
-        out = Outcome(name, "Running", EPOCH, bound)
+        out = Outcome(name, "Running", EPOCH, bound, started=datetime.now())
         try:
             source = self.source.read(name)
             m = self.source.manifest(name)
@@ -173,6 +180,66 @@ class Engine:
         assert form not in ("LAK", "PUB") or len(plan.schema) == len(business.columns) + len(LAKE if form == "LAK" else PUBLISHED)
         self.target.create(name, plan.schema, plan.key, form=form)
 
+    def _log(self, run: Batch) -> None:
+        """A row for each table of the batch; run_summary() and run_latest() read them."""
+        if not run.outcomes:
+            return
+        suffix = " (Incomplete)" if run.failed else ""
+        rows = [(run.end, f"{run.end:%Y-%m-%d %H:%M:%S}{suffix}", run.task, "lake", "dbo", o.table, o.outcome, o.started, o.started + timedelta(seconds=o.seconds), o.begin, o.end, o.inserted, o.updated, o.deleted, o.error) for o in run.outcomes]
+        log = self.target.spark.createDataFrame(rows, LOG)
+        self.target.commit("__log", self.target.read("__log").unionByName(log) if self.target.exists("__log") else log, form="CTL")
+
+    def log(self) -> DataFrame:
+        return self.target.read("__log")
+
+    def refresh_times(self, mapping: DataFrame, now: datetime, zone: str = timemap.ZONE) -> dict[str, int]:
+        """The time map of the target brought up to a log's mapping (lsn, tran_end_time): M1, M5, M6, M8, M9 in a row.
+
+        Load times of rows that are known stay, so that a row that comes again unchanged is no difference.
+        """
+        known = self.target.read("__time") if self.target.exists("__time") else None
+        rows = timemap.repair_overlap(timemap.rank_map(mapping.select("lsn", "tran_end_time"), zone), known)
+        loads = rows.withColumn(LOAD, F.lit(None).cast("long")) if known is None else rows.join(known.select("lsn", LOAD), "lsn", "left")
+        source = timemap.stamp_load(loads.select("lsn", "tran_end_time", FROM, LOAD), now)
+        if known is None:
+            self.target.commit("__time", source, form="CTL", key=["lsn"])
+            return {"I": source.count()}
+        inside = known.join(source.select("lsn"), "lsn", "left_semi").select(*source.columns)
+        differences = timemap.classify(source, inside)
+        self.target.commit("__time", timemap.upsert(known.select(*source.columns), differences), form="CTL", key=["lsn"])
+        return {r.upsert: r["count"] for r in differences.groupBy("upsert").count().collect()}
+
+    def sync_schemas(self, form: str, preserve_key: bool = False, dry_run: bool = False) -> list[TablePlan]:
+        """New tables of the source are made in the target, and new columns are added to those it has."""
+        plans = []
+        for name in [n for n in self.source.tables() if not n.startswith("__")]:
+            m = self.source.manifest(name)
+            have = self.target.schema(name) if self.target.exists(name) else None
+            plan = plan_table(name, form, self.source.schema(name), have, m["key"], self.target.manifest(name)["key"] if have else [], preserve_key)
+            plans.append(plan)
+            if dry_run or plan.status == "=":
+                continue
+            if have is None:
+                self.target.create(name, plan.schema, plan.key, form=form)
+            else:
+                self.target.commit(name, evolve(self.target.read(name), plan.schema), key=plan.key)
+        return plans
+
+    def prune(self, name: str, days: int, bound: date | None = None, dry_run: bool = False) -> date:
+        """B2: history that ended before the retention date goes; the date is recorded, but not in a dry run."""
+        day = retention_date(self.complete(self.target), days, bound)
+        if not dry_run:
+            self.target.commit(name, retain(self.target.read(name), day), RetentionDate=day.isoformat())
+        return day
+
+    def rewind(self, name: str, at: datetime) -> dict[str, int]:
+        """B1: a history as it was at an instant."""
+        df = self.target.read(name)
+        begin, end = (FROM, TO) if FROM in df.columns else ("DateFrom", "DateTo")
+        counts = rollback_counts(df, at, begin, end).first()
+        self.target.commit(name, rollback(df, at, begin, end).result)
+        return counts.asDict()
+
     def _advance(self, at: datetime) -> None:
         df = self.target.spark.range(1).select(F.lit(at.isoformat()).alias("CompleteDate"))
         self.target.commit("__complete", df, form="CTL", CompleteDate=max(at, self.complete(self.target)).isoformat())

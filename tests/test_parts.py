@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from palimpsest.functions import scalar
 from palimpsest.model import OPEN, ticks
-from palimpsest.operators import layout, maintenance, metadata, schema_sync, timemap
+from palimpsest.operators import control, layout, maintenance, metadata, schema_sync, timemap
 from palimpsest.plans import matching
 from palimpsest.plans.engine import REGISTRY, Engine
 from palimpsest.sources import dialect
@@ -141,6 +141,42 @@ def test_engine_runs_snapshots_and_publishes(spark, tmp_path):
     assert len(REGISTRY) == 8
 
 
+def test_engine_keeps_a_log_and_schemas_and_prunes(spark, tmp_path):
+    source, lake = (Store(spark, f"file://{tmp_path}/{n}") for n in ("source", "lake"))
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    source.commit("t", rows, key=["id"], form="NON")
+    engine, days = Engine(source, lake), [datetime(2024, 1, d) for d in (1, 2, 3)]
+    assert [p.status for p in engine.sync_schemas("LAK", dry_run=True)] == ["A"] and not lake.exists("t")
+    assert [p.status for p in engine.sync_schemas("LAK")] == ["A"] and [p.status for p in engine.sync_schemas("LAK")] == ["="]
+    engine.transfer("NON-LAK", days[0])
+    source.commit("t", rows.withColumn("w", F.lit(1)).where("id = 1"))
+    assert engine.sync_schemas("LAK")[0].added == ["w"] and lake.read("t").where("w IS NULL").count() == 2
+    engine.transfer("NON-LAK", days[1])
+    source.commit("t", spark.createDataFrame([("1",)], "wrong string"), key=["wrong"])
+    assert engine.transfer("NON-LAK", days[2]).failed
+    summary = {r.Batch: r for r in control.run_summary(engine.log()).collect()}
+    assert len(summary) == 3 and [r.Failed for r in summary.values()].count(1) == 1 and sum(r.Inserted for r in summary.values()) == 3
+    assert control.run_latest(engine.log(), batches=1).count() == 1
+    before = lake.read("t").count()
+    assert engine.rewind("t", days[0]) == {"deleted": 2, "updated": 2} and lake.read("t").count() == before - 2
+    assert engine.prune("t", 0, dry_run=True) == date(2024, 1, 1) and "RetentionDate" not in lake.manifest("t")
+    assert engine.prune("t", 0) == date(2024, 1, 1) and lake.manifest("t")["RetentionDate"] == "2024-01-01" and lake.read("t").count() == 2
+
+
+def test_engine_maintains_its_time_map(spark, tmp_path):
+    lake = Store(spark, f"file://{tmp_path}/lake")
+    engine = Engine(lake, lake)
+    rows = [(k, datetime(2024, 1, 1, k // 3)) for k in range(1, 30)]
+    frame = lambda r: spark.createDataFrame(r, "lsn long, tran_end_time timestamp_ntz")
+    assert engine.refresh_times(frame(rows[:20]), datetime(2024, 2, 1)) == {"I": 20}
+    first = {r.lsn: tuple(r) for r in lake.read("__time").collect()}
+    assert engine.refresh_times(frame(rows[:20]), datetime(2024, 2, 2)) == {}
+    # A late commit moves the ranks of its hour's other rows.
+    assert engine.refresh_times(frame([*rows[12:], (13, rows[11][1])]), datetime(2024, 2, 3)).keys() >= {"I"}
+    got = {r.lsn: tuple(r) for r in lake.read("__time").collect()}
+    assert got[1] == first[1] and max(got) == 29
+
+
 def test_stream_is_the_batch(spark, tmp_path):
     schema = "k long, v string, __start_lsn long, __seqval long, __operation int, ts timestamp_ntz"
     rows = [(k % 4, f"v{k}", k, k, 1 if k % 5 == 0 else 4, datetime(2024, 1, 1 + k // 3)) for k in range(1, 30)]
