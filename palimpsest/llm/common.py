@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -17,20 +18,24 @@ SPACES = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset: one in the warehouse, or in
+    local mode, as in tests, a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="palimpsest-")
+        local = re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master)
+        base = "file://" + tempfile.mkdtemp(prefix="palimpsest-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
+    """A new path in the application's part of the shared folder, which goes when the driver's JVM ends."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/palimpsest-{spark.sparkContext.applicationId}")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(root):
+        fs.deleteOnExit(root)
+    # With its scheme, so that executors' own file access goes to the same store as Spark's.
+    return f"{fs.makeQualified(root).toString()}/{name}-{uuid.uuid4().hex}"
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -41,10 +46,17 @@ def delete(spark: SparkSession, path: str) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: the lineage ends there, so a lost executor costs only reads."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that written() returned and that nothing reads any more."""
+    for t in tables:
+        for path in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            delete(t.sparkSession, path)
+
+
 def crc32_text(c: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; of no bytes for null."""
     return F.crc32(F.coalesce(c, F.lit("")).cast("binary"))
@@ -58,7 +70,7 @@ def fs_of(path: str):
     """pyarrow's file system and the path in it; usable on executors."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path else fs.FileSystem.from_uri("file:" + path.removeprefix("file:"))
+    return fs.FileSystem.from_uri("file://" + path.removeprefix("file:") if "://" not in path else path)
 
 
 # ---- hashing in numpy ----
@@ -122,19 +134,25 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
         return h
 
 
-def pieces(batches: Iterable, text: str, most: int = 1 << 21):
-    """Slices of Arrow batches whose texts have about `most` bytes together, one row at least."""
+def pieces(batches: Iterable, text: str, most: int = 1 << 20, inside: str | None = None):
+    """Slices of Arrow batches whose texts have about `most` bytes together, one row at least.
+
+    text: the texts' column; inside: the struct column that holds it, if it isn't one of its own.
+    """
     import pyarrow as pa
     import pyarrow.compute as pc
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
-        ends = np.cumsum(pc.fill_null(pc.binary_length(column.cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)) // most
+        column = batch.column(batch.schema.get_field_index(inside or text))
+        lengths = pc.binary_length(column.field(text) if inside else column)
+        ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), dtype=np.int64) // most
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+    # The pool gives back what it can, as an idle worker keeps its memory.
+    pa.default_memory_pool().release_unused()
 
 
 def freed(spark: SparkSession) -> None:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BASE, INVERSE, U64, crc32_text, freed, mix, pieces, powers, word_hashes, written
+from .common import BASE, INVERSE, U64, crc32_text, dropped, freed, mix, pieces, powers, word_hashes, written
 
 MIN_WORDS, NEAR_WORDS = 5, 8
 BASE_2 = 0x9FB21C651E98DF25
@@ -174,61 +174,76 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "late").mapInArrow(run, "late struct<id: long, row: long, line: long>")
 
 
-def _keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    i, t = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"]
-    return docs.select(i.alias("id"), F.xxhash64(i, t).alias("row"), t.alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"))
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """record (the row of `docs`), text (without the lines that go), n_lines, n_removed."""
     spark = docs.sparkSession
-    keyed = _keyed_rows(docs, id_col, text_col)
-    rows = keyed.select("id", "row", "text")
+    i, t = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"]
+    rows = docs.select(i.alias("id"), F.xxhash64(i, t).alias("row"), t.alias("text"))
+    same_row = lambda x, y: (x["row"] == y["row"]) & x["id"].eqNullSafe(y["id"])
     lines = written(_all_lines(rows), "lines")
 
     halves = ["p0", "s0", "p1", "s1"]
-    firsts = written(lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line", *halves)).alias("first")).select("first.*"), "firsts")
+    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line", *halves)).alias("first"))
+    firsts = written(firsts.select(F.monotonically_increasing_id().alias("number"), "first.*"), "firsts")
+    every = written(_lists(lines, "every"), "every")
+    dropped(lines)
     freed(spark)
 
     # Lines that share a half with another line; front: with edits in the front half.
-    keys = firsts.where("p0 IS NOT NULL").select("id", "row", "line", F.explode(F.array(*[F.struct(F.col(c).alias("key"), F.lit(c[0] == "s").alias("front")) for c in halves])).alias("k")).select("id", "row", "line", "k.*")
+    keys = firsts.where("p0 IS NOT NULL").select("number", F.explode(F.array(*[F.struct(F.col(c).alias("key"), F.lit(c[0] == "s").alias("front")) for c in halves])).alias("k")).select("number", "k.*")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    near = keys.join(shared, "key", "left_semi").groupBy("id", "row", "line").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    # Lists and keys grow with the corpus, so these joins are merges at every size.
+    sides = keys.hint("merge").join(shared, "key", "left_semi").groupBy("number").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    near = firsts.select("number", "id", "row", "line").join(sides, "number")
     near = written(near.groupBy("row", "id").agg(F.collect_list(F.struct("line", "front", "back")).alias("near")), "near")
     freed(spark)
 
-    same_row = lambda x, y: (x["row"] == y["row"]) & x["id"].eqNullSafe(y["id"])
     # Rows that agree in id and text are one here.
-    chosen = rows.where("text IS NOT NULL").join(near, same_row(rows, near)).select(rows["id"], rows["row"], rows["text"], near["near"])
+    chosen = rows.where("text IS NOT NULL").join(near.hint("merge"), same_row(rows, near)).select(rows["id"], rows["row"], rows["text"], near["near"])
     chosen = written(chosen, "chosen")
-    variants = _variants(chosen)
+    dropped(near)
+    freed(spark)
     at = F.struct("id", "row", "line")
     kind, key = W.partitionBy("key", "place").orderBy("id", "row", "line"), W.partitionBy("key")
     itself = F.col("place") == -1
-    sent = written(variants, "variants")
+    sent = written(_variants(chosen), "variants")
     grouped = sent.where("early IS NULL").select("key", "place", "id", "row", "line").withColumn("at", at).withColumn("same", F.first("at").over(kind)).withColumn("short", F.min(F.when(itself, F.col("at"))).over(key)).withColumn("long", F.min(F.when(~itself, F.col("at"))).over(key))
     other = F.when(F.col("same") < F.col("at"), F.col("same")).when(~itself & (F.col("short") < F.col("at")), F.col("short")).when(itself & (F.col("long") < F.col("at")), F.col("long"))
     decided = grouped.select(F.col("at").alias("late"), other.alias("early")).where("early IS NOT NULL").unionByName(sent.where("early IS NOT NULL").select(at.alias("late"), "early"))
-    pairs = decided.groupBy("late").agg(F.min("early").alias("early"))
-    texts = chosen.dropDuplicates(["id", "row"]).select("id", "row", F.split("text", "\n").alias("all"), F.explode("near.line").alias("line")).select(at.alias("at"), F.get("all", F.col("line").cast("int")).alias("line_text"))
+    pairs = written(decided.groupBy("late").agg(F.min("early").alias("early")), "pairs")
+    dropped(sent)
+    freed(spark)
+    # Only the texts of lines in a pair move.
+    asked = pairs.select(F.col("late").alias("at")).unionByName(pairs.select(F.col("early").alias("at"))).distinct()
+    texts = chosen.select("id", "row", F.split("text", "\n").alias("all"), "near").select("id", "row", F.explode(F.transform("near", lambda x: F.struct(x["line"].alias("line"), F.get("all", x["line"].cast("int")).alias("line_text")))).alias("x"))
+    texts = texts.select(F.struct("id", "row", "x.line").alias("at"), "x.line_text").hint("merge").join(asked, "at", "left_semi").dropDuplicates(["at"])
     gone = written(_verified(pairs, texts).select("late.*"), "gone")
+    dropped(chosen, pairs)
     freed(spark)
 
-    kept = firsts.select("id", "row", "line").join(gone.withColumn("gone", F.lit(1)), (firsts["row"] == gone["row"]) & firsts["id"].eqNullSafe(gone["id"]) & (firsts["line"] == gone["line"]), "left_anti")
-    per_row = lambda df, name: df.groupBy("row", "id").agg(F.collect_set(F.col("line").cast("int")).alias(name))
-    every = per_row(lines, "every")
-    stay = per_row(kept, "stay")
+    kept = firsts.select("id", "row", "line").join(gone, (firsts["row"] == gone["row"]) & firsts["id"].eqNullSafe(gone["id"]) & (firsts["line"] == gone["line"]), "left_anti")
+    stay = _lists(kept, "stay")
     lists = every.join(stay, same_row(every, stay), "left").select(every["id"], every["row"], F.array_except("every", F.coalesce("stay", F.array().cast("array<int>"))).alias("drop")).where(F.size("drop") > 0)
-    joined = keyed.join(lists, same_row(keyed, lists), "left").select(keyed["record"], keyed["text"], lists["drop"], F.split(keyed["text"], "\n").alias("lines"))
+    lists = written(lists, "lists")
+    dropped(firsts, gone, every)
+    freed(spark)
+    records = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"), i.alias("id"), F.xxhash64(i, t).alias("row"))
+    text = F.col("record").getField(text_col)
+    joined = records.join(lists.hint("merge"), same_row(records, lists), "left").select("record", "drop", F.split(text, "\n").alias("lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop"))
     return joined.select(
         "record",
-        F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")).alias("text"),
-        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.when(F.col("drop").isNull(), text).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")).alias("text"),
+        F.when(text.isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
+def _lists(df: DataFrame, name: str) -> DataFrame:
+    """The line numbers of each row."""
+    return df.groupBy("row", "id").agg(F.collect_set(F.col("line").cast("int")).alias(name))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return rows.select("record.doc_id", "n_lines", "n_removed", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes_kept"), crc32_text(F.col("text")).alias("kept_crc32"))
