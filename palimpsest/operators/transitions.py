@@ -82,6 +82,8 @@ def cdc_collapse(log: DataFrame, times: DataFrame, keys: list[str], begin: datet
     missing = F.raise_error(F.concat(F.lit("no time for LSN "), F.col("__start_lsn").cast("string")))
     timed = timed.withColumn(FROM, F.when(F.col(FROM).isNotNull(), F.col(FROM)).otherwise(missing.cast(kind)))
     timed = timed.withColumn(SOURCE, F.lit(source_id).cast("smallint")).withColumn(ACTION, F.when(F.col("__operation") == 1, "D").when(F.col("__operation") == 2, "I").otherwise("U"))
+    # Dealt once, by the key: the windows over a key's instants and over the key share that exchange and its order.
+    timed = timed.repartition(*keys)
     instant = W.partitionBy(*keys, SOURCE, FROM)
     marked = timed.withColumn("__first", F.first(ACTION).over(instant.orderBy("__seqval")))
     if strict:
@@ -106,6 +108,8 @@ def cdc_history(target: DataFrame, log: DataFrame, times: DataFrame, keys: list[
     return ChangeSet(_plus(result, changes), inserts, closes, tombstones)
 
 
+#: Actions in order, as numbers: these aggregate by hash, strings only by sorting.
+_RANK = {"D": 1, "I": 2, "U": 3}
 #: Old and new side of a key whose rows differ -> what happened to it.
 _MATRIX = {(None, "I"): "I", ("I", "I"): "U", ("U", "I"): "U", ("I", None): "D", ("U", None): "D", ("D", "I"): "I", ("D", None): "Z"}
 
@@ -116,24 +120,27 @@ def snapshot_actions(old: DataFrame, new: DataFrame, keys: list[str], strict: bo
     old, new: __source and the business columns; old has __action too (X counts as I). `side_old` and `side_new` tell where
     a row is. Z marks a tombstone whose key is still absent. A deleted key that returns with its last values stays deleted
     unless `strict`. Equal snapshot rows disturb the counts unless `dedupe`.
+
+    Rows are dealt once, by their keys: equal rows have equal keys, so grouping and the windows share that exchange.
     """
     columns = [c for c in new.columns if c != SOURCE]
-    past = old.withColumn("__old", F.when(F.col(ACTION) == "X", "I").otherwise(F.col(ACTION))).select(SOURCE, *columns, "__old")
+    rank = lambda c: F.when(c == "D", _RANK["D"]).when(c == "U", _RANK["U"]).when(c.isin("I", "X"), _RANK["I"])
+    name = lambda c: F.when(c == _RANK["D"], "D").when(c == _RANK["I"], "I").when(c == _RANK["U"], "U")
+    past = old.select(SOURCE, *columns, rank(F.col(ACTION)).alias("__old"))
     now = new.dropDuplicates([SOURCE, *columns]) if dedupe else new
-    now = now.withColumn("__new", F.lit("I"))
     group = [SOURCE, *columns]
-    kept = {"__old": "max(__old)", "__new": "max(__new)"}
     if strict:
         # A tombstone and a new row of the same values are two different rows.
-        past, now = past.withColumn("__gone", F.col("__old") == "D"), now.withColumn("__gone", F.lit(False))
+        past, now = past.withColumn("__gone", F.col("__old") == _RANK["D"]), now.withColumn("__gone", F.lit(False))
         group = [*group, "__gone"]
-    different = row_diff(past, now, group, kept)
+    different = row_diff(past, now, group, {"__old": "max(__old)"}, keys)
     key = W.partitionBy(*keys, SOURCE)
-    a, b = F.max("__old").over(key), F.max("__new").over(key)
+    a, b = F.max("__old").over(key), F.max("n_new").over(key) > 0
     action = F.lit(None).cast("string")
     for (x, y), z in _MATRIX.items():
-        action = F.when((a.isNull() if x is None else a == x) & (b.isNull() if y is None else b == y), z).otherwise(action)
-    return different.select(*keys, *[c for c in columns if c not in keys], SOURCE, F.col("__old").alias("side_old"), F.col("__new").alias("side_new"), action.alias(ACTION))
+        action = F.when((a.isNull() if x is None else a == _RANK[x]) & (~b if y is None else b), z).otherwise(action)
+    side_new = F.when(F.col("n_new") > 0, "I")
+    return different.select(*keys, *[c for c in columns if c not in keys], SOURCE, name(F.col("__old")).alias("side_old"), side_new.alias("side_new"), action.alias(ACTION))
 
 
 def snapshot_apply(target: DataFrame, source: DataFrame, keys: list[str], at: datetime | Column, load: datetime | Column | None = None, source_id: int = 0, strict: bool = False, dedupe: bool = False) -> ChangeSet:
