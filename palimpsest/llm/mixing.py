@@ -114,11 +114,12 @@ class Mix:
     sources: dict
 
     def copies(self, rows: DataFrame) -> DataFrame:
-        """rows with __pattern and __hash: adds __copies and the pattern's columns."""
+        """rows with __pattern, __size and __hash: adds __copies and the pattern's columns. Rows without words aren't taken."""
         extra = self.extras.withColumn("__extra", F.lit(1))
         joined = rows.join(F.broadcast(self.patterns), "__pattern", "left").join(extra, ["__pattern", "__hash"], "left")
         more = (F.col("__hash") < F.col("__cut")) | F.col("__extra").isNotNull()
-        return joined.withColumn("__copies", (F.coalesce("__epochs", F.lit(0)) + F.coalesce(more, F.lit(False)).cast("int")).cast("int"))
+        copies = F.coalesce("__epochs", F.lit(0)) + F.coalesce(more, F.lit(False)).cast("int")
+        return joined.withColumn("__copies", F.when(F.col("__size") > 0, copies).otherwise(0).cast("int"))
 
 
 def _keyed(docs: DataFrame, seed: int, source_col: str, id_col: str, text_col: str) -> tuple[Column, Column, Column]:
@@ -211,8 +212,8 @@ def sized_table(docs: DataFrame, seed: int, source_col: str, id_col: str, text_c
 def mix(docs: DataFrame, seed: int = 7, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, with the columns of `docs`."""
     plan = plan_mix(sized_table(docs, seed, source_col, id_col, text_col), weights, share, most)
-    members, _, hashed = _keyed(docs, seed, source_col, id_col, text_col)
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__record"), F.to_json(F.struct(members.alias("m")), {"ignoreNullFields": "false"}).alias("__pattern"), hashed.alias("__hash"))
+    members, size, hashed = _keyed(docs, seed, source_col, id_col, text_col)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__record"), F.to_json(F.struct(members.alias("m")), {"ignoreNullFields": "false"}).alias("__pattern"), size.alias("__size"), hashed.alias("__hash"))
     taken = plan.copies(rows).where(F.col("__copies") > 0)
     return taken.select("__record", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).select(*[F.col("__record").getField(c).alias(c) for c in docs.columns])
 
