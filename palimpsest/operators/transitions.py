@@ -72,11 +72,11 @@ def cdc_collapse(log: DataFrame, times: DataFrame, keys: list[str], begin: datet
     """
     kind = times.schema[FROM].dataType
     inside = (F.col(FROM) > moment(begin, kind)) & (F.col(FROM) <= moment(end, kind))
-    # The LSNs of the window's times bound the log, so the filter reaches the scan of either.
-    bounds = times.where(inside).agg(F.min("lsn").alias("low"), F.max("lsn").alias("high"))
+    # The LSNs of the window's times bound the log; as scalars they are known before its scan, which they prune.
+    bound = lambda f: times.where(inside).agg(f("lsn")).scalar()
     load = LOAD if LOAD in times.columns else FROM
     clock = times.select(F.col("lsn").alias("__lsn"), F.col(FROM), F.col(load).alias("__at"))
-    wanted = log.where(F.col("__operation").isin(1, 2, 4)).join(F.broadcast(bounds), F.col("__start_lsn").between(F.col("low"), F.col("high"))).drop("low", "high")
+    wanted = log.where(F.col("__operation").isin(1, 2, 4) & (F.col("__start_lsn") >= bound(F.min)) & (F.col("__start_lsn") <= bound(F.max)))
     timed = wanted.join(clock, wanted["__start_lsn"] == clock["__lsn"], "left").drop("__lsn")
     timed = timed.where(F.col(FROM).isNull() | inside)
     missing = F.raise_error(F.concat(F.lit("no time for LSN "), F.col("__start_lsn").cast("string")))
