@@ -45,6 +45,7 @@ class Template:
     run: Callable[[DataFrame, DataFrame, Context], ChangeSet]
     priority: int = 0
     needs_key: bool = True
+    optional: bool = False
 
 
 def _net(history: DataFrame, c: Context) -> DataFrame:
@@ -52,8 +53,8 @@ def _net(history: DataFrame, c: Context) -> DataFrame:
 
 
 #: The tasks. Baselines take plain tables as sources.
-REGISTRY: dict[str, Template] = {
-    t.task: t
+REGISTRY: dict[str, list[Template]] = {
+    t.task: [t]
     for t in (
         Template("BAS-LAK", "NON", "LAK", lambda a, b, c: transitions.baseline_load(a, b, c.end, c.source_id), needs_key=False),
         Template("BAS-LAK1", "NON", "LAK", lambda a, b, c: transitions.baseline_first(a, b, c.begin, c.end), needs_key=False),
@@ -67,6 +68,22 @@ REGISTRY: dict[str, Template] = {
 }
 
 
+def register(template: Template) -> None:
+    """Adds an action to a task, or a new task; all actions of a task have the same forms."""
+    have = REGISTRY.setdefault(template.task, [])
+    if have and (have[0].source_form, have[0].target_form) != (template.source_form, template.target_form):
+        raise ValueError(f"the actions of {template.task} differ in form")
+    have.append(template)
+
+
+def actions(task: str, has_key: bool = True) -> list[Template]:
+    """A task's actions in their order; optional ones that lack what they need are left out."""
+    found = sorted(REGISTRY.get(task, ()), key=lambda t: t.priority)
+    if not found:
+        raise ValueError(f"there is no template for task {task}")
+    return [t for t in found if has_key or not (t.needs_key and t.optional)]
+
+
 @dataclass
 class Outcome:
     table: str
@@ -123,30 +140,30 @@ class Engine:
         Tables are independent: each commits alone, a failure is recorded and the others go on (X10), `parallel` at a time.
         The completion mark moves only if all tables of the store went well (X11).
         """
-        template = REGISTRY.get(task)
-        if template is None:
-            raise ValueError(f"there is no template for task {task}")
+        actions(task)
         names = [n for n in self.source.tables() if not n.startswith("__") and (tables is None or n in tables)]
         run = Batch(task, self.complete(self.target), bound, dry_run)
         with ThreadPoolExecutor(max(1, self.parallel)) as pool:
-            run.outcomes = list(pool.map(lambda n: self._one(template, n, bound, (keys or {}).get(n), times, batch, dry_run), names))
+            run.outcomes = list(pool.map(lambda n: self._one(task, n, bound, (keys or {}).get(n), times, batch, dry_run), names))
         if not dry_run:
             self._log(run)
             if not run.failed and tables is None:
                 self._advance(bound)
         return run
 
-    def _one(self, template: Template, name: str, bound: datetime, key: list[str] | None, times, batch, dry_run) -> Outcome:
+    def _one(self, task: str, name: str, bound: datetime, key: list[str] | None, times, batch, dry_run) -> Outcome:
         began = time.time()
         out = Outcome(name, "Running", EPOCH, bound, started=datetime.now())
         try:
+            template, *_ = actions(task)
             source = self.source.read(name)
             m = self.source.manifest(name)
             if not self.target.exists(name):
                 self._create(name, template, source, key or m["key"])
             target = self.target.read(name)
             keys = key or self.target.manifest(name)["key"] or m["key"]
-            if template.needs_key and not keys:
+            todo = actions(task, bool(keys))
+            if not keys and any(t.needs_key for t in todo):
                 raise ValueError(f"{name} has no key")
             out.begin = self.mark(self.target, name)
             if template.source_form == "NON":
@@ -158,14 +175,18 @@ class Engine:
                 out.outcome = "Pass"
                 return out
             context = Context(keys, out.begin, out.end, times=times, at=synthetic(source.sparkSession, out.begin, out.end, bound).first()[FROM], load=out.end)
-            changes = template.run(target, source, context)
+            steps = []
+            for t in todo:
+                steps.append(t.run(target, source, context))
+                target = steps[-1].result
             if dry_run:
-                changes.result.schema  # the plan is analysed, and nothing runs
+                target.schema  # the plan is analysed, and nothing runs
                 out.outcome = "Pass"
                 return out
-            counts = changes.counts()
-            self.target.commit(name, changes.result, batch=batch and f"{batch}:{name}", key=keys, mark=bound.isoformat())
-            out.inserted, out.updated, out.deleted, out.outcome = counts["inserted"], counts["updated"], counts["deleted"], "Success"
+            counts = [s.counts() for s in steps]
+            self.target.commit(name, target, batch=batch and f"{batch}:{name}", key=keys, mark=bound.isoformat())
+            out.inserted, out.updated, out.deleted = (sum(c[k] for c in counts) for k in ("inserted", "updated", "deleted"))
+            out.outcome = "Success"
         except Exception:
             out.outcome, out.error = "Failure", traceback.format_exc(limit=3)
         out.seconds = time.time() - began

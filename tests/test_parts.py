@@ -8,7 +8,7 @@ from palimpsest.functions import scalar
 from palimpsest.model import OPEN, ticks
 from palimpsest.operators import control, layout, maintenance, metadata, schema_sync, timemap
 from palimpsest.plans import matching
-from palimpsest.plans.engine import REGISTRY, Engine
+from palimpsest.plans.engine import REGISTRY, Engine, Template, actions, register
 from palimpsest.sources import dialect
 from palimpsest.sources.store import Store
 from palimpsest.streaming.cdc import merge_stream
@@ -163,6 +163,34 @@ def test_engine_keeps_a_log_and_schemas_and_prunes(spark, tmp_path):
     assert engine.prune("t", 0) == date(2024, 1, 1) and lake.manifest("t")["RetentionDate"] == "2024-01-01" and lake.read("t").count() == 2
 
 
+def test_actions_of_a_task_run_in_order(spark, tmp_path):
+    from palimpsest.model import ChangeSet
+
+    def mark(text):
+        def run(target, source, context):
+            new = source.select("id", F.concat(F.coalesce(target.select(F.max("v")).scalar(), F.lit("")), F.lit(text)).alias("v"))
+            return ChangeSet(target.unionByName(new), new)
+
+        return run
+
+    try:
+        register(Template("TST-NON", "NON", "NON", mark("b"), priority=2))
+        register(Template("TST-NON", "NON", "NON", mark("a"), priority=1))
+        register(Template("TST-NON", "NON", "NON", mark("x"), priority=3, optional=True))
+        with pytest.raises(ValueError):
+            register(Template("TST-NON", "CDC", "LAK", mark("z")))
+        assert len(actions("TST-NON")) == 3 and len(actions("TST-NON", has_key=False)) == 2
+        for t in REGISTRY["TST-NON"]:
+            t.needs_key = t.optional
+        source, target = (Store(spark, f"file://{tmp_path}/{n}") for n in ("s", "t"))
+        source.commit("t", spark.createDataFrame([(1, "?")], "id long, v string"))
+        out = Engine(source, target).transfer("TST-NON", datetime(2024, 1, 1)).outcomes[0]
+        assert out.outcome == "Success", out.error
+        assert out.inserted == 2 and sorted(r.v for r in target.read("t").collect()) == ["a", "ab"]
+    finally:
+        REGISTRY.pop("TST-NON")
+
+
 def test_engine_maintains_its_time_map(spark, tmp_path):
     lake = Store(spark, f"file://{tmp_path}/lake")
     engine = Engine(lake, lake)
