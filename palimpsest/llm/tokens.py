@@ -260,7 +260,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, out: str, end_id: int = 2, id_
                     n += len(ids) // 4 + 1
             writer.close()
         if writer.counts:
-            fs.move(attempt, name)
+            try:
+                fs.move(attempt, name)
+            except OSError:
+                # Another attempt was faster, and its file holds the same.
+                if fs.get_file_info(name).type.name != "File":
+                    raise
+                fs.delete_file(attempt)
             yield pa.RecordBatch.from_pydict({"part": [context.partitionId()], "path": [f"{out}/{name.rpartition('/')[2]}"], "n_docs": [len(writer.counts)], "n_ids": [n]})
         else:
             fs.delete_file(attempt)
