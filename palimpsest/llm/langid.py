@@ -23,12 +23,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, pieces
+from .common import U64, pieces, small_batches
 
 UNDEFINED = "und"
 TRAIN_ROWS, MAX_LANGUAGES = 4000, 256
 ORDERS, BUCKETS = (2, 3), 1 << 15
 SWITCH = 8.0
+SLICE_BYTES = 1 << 19
 #: A language uses a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.01
 
@@ -106,6 +107,7 @@ class Model:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", train_rows: int = TRAIN_ROWS) -> Model:
     """labelled: the rows that may train."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(labelled[f"`{key_col}`"].alias("key"), labelled[f"`{text_col}`"].alias("text"), labelled[f"`{lang_col}`"].cast("string").alias("lang")).where("lang IS NOT NULL")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
@@ -122,7 +124,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
             import pyarrow as pa
 
             total = np.zeros((len(languages), kinds), np.int64)
-            for part in pieces(batches, "text"):
+            for part in pieces(batches, "text", SLICE_BYTES):
                 langs = np.array([number[x] for x in part.column(1).to_pylist()])
                 w = words_of(part.column(0).to_pylist())
                 of = langs[w.text]
@@ -229,32 +231,37 @@ def label(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, spans (array of begin, end, lang); one row for each of `docs`."""
-    return _map(docs, model, docs[f"`{id_col}`"].cast("long"), text_col, "doc_id long")
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"))
+    return _map(rows, model, "text", None, "doc_id long")
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose language is known with a score of `least` or more; all columns as they were."""
-    record = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    judged = _map(docs, model, record, text_col, f"doc_id {docs.schema.simpleString()}")
-    kept = judged.where((F.col("lang_pred") != UNDEFINED) & (F.col("score") >= least))
-    return kept.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"))
+    judged = _map(rows, model, text_col, "record", f"record {docs.schema.simpleString()}", lambda lang, score: lang != UNDEFINED and score >= least)
+    return judged.select(*[F.col("record").getField(c).alias(c) for c in docs.columns])
 
 
-def _map(docs: DataFrame, model: Model, carried, text_col: str, first: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _map(rows: DataFrame, model: Model, text: str, inside: str | None, first: str, wanted=None) -> DataFrame:
+    """rows: the column to carry, and the text unless it is inside that one. With `wanted`, only rows for which it holds."""
+    small_batches(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
         m = shared.value
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
-        for part in pieces(batches, "text"):
-            texts = [t or "" for t in part.column(1).to_pylist()]
+        for part in pieces(batches, text, SLICE_BYTES, inside):
+            texts = [t or "" for t in (part.column(0).field(text) if inside else part.column(1)).to_pylist()]
             langs, scores, spans = label(m, texts)
+            if wanted:
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array([wanted(x, s) for x, s in zip(langs, scores, strict=True)], pa.bool_()))], [inside])
+                continue
             spans = [[{"begin": a, "end": b, "lang": m.languages[p]} for a, b, p in s] for s in spans]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["doc_id", "lang_pred", "score", "spans"])
 
-    return docs.select(carried.alias("doc_id"), docs[f"`{text_col}`"].alias("text")).mapInArrow(run, f"{first}, lang_pred string, score double, spans array<struct<begin: int, end: int, lang: string>>")
+    return rows.mapInArrow(run, first if wanted else f"{first}, lang_pred string, score double, spans array<struct<begin: int, end: int, lang: string>>")
 
 
 def held_out(doc_id):

@@ -35,7 +35,9 @@ from .lines import Lines
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
 SIGNATURE_SHARE = 0.55
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Arrivals that are drawn at once, at most, once fewer shingles than that are left.
+ARRIVALS = 1 << 18
 #: Nodes of a block, and shingles of a matrix product, when a cluster's components are compared.
 BLOCK, COLUMNS = 512, 2048
 
@@ -66,20 +68,25 @@ def prob_min_hash(text: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, m:
     """For each text, m registers with the hash of the shingle that came first; 0 for a text without shingles."""
     first = np.full(texts * m, np.inf)
     registers = np.zeros(texts * m, U64)
-    left, when = np.arange(len(h)), np.zeros(len(h))
+    left, when, done = np.arange(len(h)), np.zeros(len(h)), 0
     with np.errstate(over="ignore"):
-        key = mix(h)
+        seed = mix(h)
         while len(left):
-            key = mix(key + U64(0xA0761D6478BD642F))
-            when = when - np.log(((key >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53) / w[left]
-            at = text[left] * m + (mix(key) % U64(m)).astype(np.int64)
-            sooner = np.flatnonzero(when < first[at])
+            # Many shingles: an arrival of each. Few: several arrivals at once, as short texts need many to fill all registers.
+            steps = max(1, min(64, ARRIVALS // len(left)))
+            key = mix(seed[left][:, None] + np.arange(done + 1, done + steps + 1, dtype=U64) * U64(0xA0761D6478BD642F))
+            waits = -np.log(((key >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53) / w[left][:, None]
+            times = when[:, None] + (np.cumsum(waits, 1) if steps > 1 else waits)
+            at = (text[left][:, None] * m + (mix(key) % U64(m)).astype(np.int64)).reshape(-1)
+            flat = times.reshape(-1)
+            sooner = np.flatnonzero(flat < first[at])
             # Later arrivals first: of those on one register the earliest is written last.
-            sooner = sooner[np.argsort(-when[sooner], kind="stable")]
-            first[at[sooner]] = when[sooner]
-            registers[at[sooner]] = h[left[sooner]]
-            go_on = np.flatnonzero(when < first.reshape(texts, m).max(1)[text[left]])
-            left, when, key = left[go_on], when[go_on], key[go_on]
+            sooner = sooner[np.argsort(-flat[sooner], kind="stable")]
+            first[at[sooner]] = flat[sooner]
+            registers[at[sooner]] = h[left[sooner // steps]]
+            done += steps
+            go_on = np.flatnonzero(times[:, -1] < first.reshape(texts, m).max(1)[text[left]])
+            left, when = left[go_on], times[go_on, -1]
     return registers.reshape(texts, m)
 
 
