@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -30,6 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the application's part of the shared folder, which goes when the driver's JVM ends."""
+    small_batches(spark)
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/palimpsest-{spark.sparkContext.applicationId}")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.mkdirs(root):
@@ -38,6 +40,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{fs.makeQualified(root).toString()}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch of texts; with Spark's default of 10000, a batch of long texts takes up much of a worker's memory.
+BATCH_ROWS = 2500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of rows in an Arrow batch to BATCH_ROWS."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
@@ -97,7 +111,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2**64, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16, 0 if have is None else 2 * len(have))
+        size = max(n, 1 << 16, 0 if have is None else min(2 * len(have), 1 << 20))
         with np.errstate(over="ignore"):
             have = np.cumprod(np.concatenate([np.ones(1, U64), np.full(size - 1, base, U64)]))
         _powers[base] = have
@@ -151,8 +165,18 @@ def pieces(batches: Iterable, text: str, most: int = 1 << 20, inside: str | None
         cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
-    # The pool gives back what it can, as an idle worker keeps its memory.
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as an idle worker would keep it beside the next one's."""
+    import ctypes
+
+    import pyarrow as pa
+
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def freed(spark: SparkSession) -> None:

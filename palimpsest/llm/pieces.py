@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 
 # Fixed values of the model file's schema: kinds of piece and of model.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -32,6 +32,7 @@ MARK = "▁"
 
 THREADS = 2
 KEPT_WORDS, KEPT_CHARS = 300_000, 32
+SLICE_BYTES = 1 << 20
 
 
 def fields(data: bytes):
@@ -176,7 +177,7 @@ class Codec:
         """What stands behind each run's first marker; the whole normalised text if it can't be cut."""
         if not text:
             return []
-        if self.cuts and self.lead == MARK and "" not in (words := text.split(" ")):
+        if self.cuts and self.lead == MARK and MARK not in text and "" not in (words := text.split(" ")):
             return words
         text = self.normalize(text)
         if not self.cuts or not text.startswith(MARK):
@@ -230,7 +231,7 @@ def encode_pieces(docs: DataFrame, model: str, threads: int = THREADS, id_col: s
 
         ours, library = codec(model, threads)
         names = ["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip", "parity", "ids"]
-        for part in pieces(batches, "text"):
+        for part in pieces(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in part.column(1).to_pylist()]
             ids, checked = ours.encode(texts), library.encode(texts, num_threads=threads)
             same = [a.tolist() == b for a, b in zip(ids, checked, strict=True)]
@@ -242,6 +243,7 @@ def encode_pieces(docs: DataFrame, model: str, threads: int = THREADS, id_col: s
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32))))
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_crc32 long, round_trip boolean, parity boolean" + ", ids array<int>" * with_ids)
 
