@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import written
 from palimpsest.llm.langid import fit, held_out, keep_identified
-from palimpsest.llm.lines import dedup_lines
+from palimpsest.llm.lines import WHOLE, dedup_lines
 from palimpsest.llm.minhash import drop_near
 from palimpsest.llm.mixing import mix
 from palimpsest.llm.pieces import encode_pieces
@@ -26,7 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = dedup_lines(docs)
+    rows = dedup_lines(docs, **WHOLE)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return rows.select(*[new[c].alias(c) if c in new else F.col("record").getField(c).alias(c) for c in docs.columns])
 

@@ -2,7 +2,9 @@
 
 A line is a sequence of words, and the edit distance counts words. A line goes if a line that comes earlier, in order of
 document id and line number, is within EDITS = 1 of it; so of equal or nearly equal lines the earliest stays. Lines of
-fewer than MIN_WORDS words always stay; those of fewer than NEAR_WORDS words go for an equal line only.
+fewer than `min_words` words always stay; those of fewer than `near_words` words go for an equal line only. In op10 and the
+pipeline (WHOLE) every line with a word takes part, and one of 5 words or more, of which an edit is a fifth at most, goes for
+a near one too.
 
 1. One map over the texts hashes all lines. Equal lines are reduced to the earliest by an aggregation with map-side combine.
 2. Two lines at distance 1 share their first or last half of words. Four keys for each distinct line say that (halves of
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import BASE, INVERSE, U64, crc32_text, dropped, freed, mix, pieces, powers, word_hashes, written
 
 MIN_WORDS, NEAR_WORDS = 5, 8
+#: What op10 and the pipeline take.
+WHOLE = {"min_words": 1, "near_words": 5}
 BASE_2 = 0x9FB21C651E98DF25
 INVERSE_2 = pow(BASE_2, -1, 1 << 64)
 LENGTH = U64(0xA24BAED4963EE407)
@@ -69,8 +73,8 @@ class Lines:
             return mix(h + n.astype(U64) * LENGTH + U64(kind)).view(np.int64)
 
 
-def _all_lines(rows: DataFrame) -> DataFrame:
-    """rows: id, row, text. The lines of MIN_WORDS words or more: id, row, line, h1, h2, and the keys of their halves."""
+def _all_lines(rows: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """rows: id, row, text. The lines of min_words words or more: id, row, line, h1, h2, and the keys of their halves."""
 
     def run(batches):
         import pyarrow as pa
@@ -78,9 +82,9 @@ def _all_lines(rows: DataFrame) -> DataFrame:
         for part in pieces(batches, "text"):
             x = Lines([t.encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()])
             n = x.end - x.begin
-            k = np.flatnonzero(n >= MIN_WORDS)
+            k = np.flatnonzero(n >= min_words)
             a, b, n = x.begin[k], x.end[k], n[k]
-            near = n < NEAR_WORDS
+            near = n < near_words
             half = lambda m, kind: pa.array(x.keyed(x.run(a, a + m // 2) if kind else x.run(b - (m + 1) // 2, b), m, kind), mask=near)
             of = pa.array(x.text[k])
             yield pa.RecordBatch.from_arrays(
@@ -174,13 +178,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "late").mapInArrow(run, "late struct<id: long, row: long, line: long>")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """record (the row of `docs`), text (without the lines that go), n_lines, n_removed."""
     spark = docs.sparkSession
     i, t = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"]
     rows = docs.select(i.alias("id"), F.xxhash64(i, t).alias("row"), t.alias("text"))
     same_row = lambda x, y: (x["row"] == y["row"]) & x["id"].eqNullSafe(y["id"])
-    lines = written(_all_lines(rows), "lines")
+    lines = written(_all_lines(rows, min_words, near_words), "lines")
 
     halves = ["p0", "s0", "p1", "s1"]
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line", *halves)).alias("first"))
@@ -245,5 +249,5 @@ def _lists(df: DataFrame, name: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), **WHOLE)
     return rows.select("record.doc_id", "n_lines", "n_removed", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes_kept"), crc32_text(F.col("text")).alias("kept_crc32"))

@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 from palimpsest.llm.lines import _within_one, dedup_lines, op10_line_dedup
 
 
@@ -87,3 +88,36 @@ def test_odd_rows(spark, odd, nothing):
         by.setdefault((r.record.doc_id, r.record.text), set()).add(r.text)
     assert all(len(x) == 1 for x in by.values()), "rows that agree have one result"
     assert dedup_lines(nothing).count() == 0
+
+
+def test_short_lines_of_the_queries(spark, tmp_path):
+    five = "one two three four five"
+    rows = [
+        (1, f"All rights reserved.\n日本語のテキスト。\nHome\n\n{five}\na b c d"),
+        (2, f"Home\nAll  rights reserved.\nkept\n日本語のテキスト。\n\n{five} six\na b c e"),
+        (3, f"Home page\n{five.replace('two', '2')}\nHome"),
+    ]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = {1: rows[0][1], 2: "kept\n\na b c e", 3: "Home page"}
+    assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, str(tmp_path)).collect()} == want
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_bytes_kept) for r in op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: (t.count("\n") + 1, {1: 0, 2: 4, 3: 2}[i], len(want[i].encode())) for i, t in rows}
+
+
+def test_short_lines_against_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    words, near_words, want = {}, {}, {}
+    for i, t in sorted((tuple(r) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0)):
+        left = []
+        for line in (t or "").split("\n"):
+            w = tuple(line.encode().split())
+            n = len(w)
+            forms = [("same", j, w[:j] + w[j + 1 :]) for j in range(n)] + [("whole", w)] + [("less", w[:j] + w[j + 1 :]) for j in range(n)] if n >= 5 else []
+            seen = [("same", j, w[:j] + w[j + 1 :]) for j in range(n)] + [("less", w)] + [("whole", w[:j] + w[j + 1 :]) for j in range(n)]
+            if not n or not (w in words or n >= 5 and any(x in near_words for x in seen)):
+                left.append(line)
+            words[w] = 1
+            near_words.update(dict.fromkeys(forms, 1))
+        want[i] = None if t is None else "\n".join(left)
+    assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, small).collect()} == want
