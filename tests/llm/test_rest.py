@@ -52,6 +52,12 @@ def test_quality_odd_rows(spark, odd, nothing):
     assert {r.kept for r in quality.judge(odd.where("doc_id = 11"), strict, ("words",)).collect()} == {False}
 
 
+def test_long_documents_are_not_rejected_for_their_length(spark):
+    text = "the of " + " ".join(f"w{i}" for i in range(1_000_000))
+    r = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert r.n_words == 1_000_002 and not r.base_failed and r.kept and r.failed == []
+
+
 # ---- mixing ----
 
 
