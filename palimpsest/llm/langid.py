@@ -5,7 +5,10 @@ character n-grams, and Viterbi's algorithm with a penalty for each switch labels
 make spans. The document's language is the one with the most letters.
 
 Viterbi runs for all documents of a batch in lockstep. Most documents are in one language; for these a proof is cheaper:
-if no run of words favours another language by more than the penalty, no path with a switch can beat the path without.
+let no run of words favour another language than the document's by more than the penalty. Then m runs in others beside one
+in the document's, which cost m switches or more, can't pay for them. A path that is nowhere in the document's language has
+m - 1 switches only: it can beat the path without if some run favours another language by more than half the penalty and
+the words' best other languages together by more than one. All other documents need no Viterbi.
 
 The model is fitted on a bounded sample: at most about TRAIN_ROWS documents of each language, chosen by a hash. Its counts
 are summed by Spark, and only MAX_LANGUAGES * (ORDERS * BUCKETS + scripts) numbers at most come to the driver.
@@ -205,7 +208,11 @@ def label(model: Model, texts: list[str]) -> tuple[list[str], list[float], list[
     lowest = np.minimum.accumulate(np.minimum(np.concatenate([np.zeros((1, size)), sums[:-1]]) * (w.text == np.concatenate([[-1], w.text[:-1]]))[:, None], 0) - offset, 0) + offset
     gain = np.zeros(n)
     np.maximum.at(gain, w.text, (sums - lowest).max(1))
-    mixed = np.flatnonzero(gain > SWITCH * (1 - 1e-9))
+    # How far a path that is nowhere in the document's language could be ahead without its switches.
+    ahead[np.arange(len(ahead)), top[w.text]] = -np.inf
+    elsewhere = np.bincount(w.text, ahead.max(1), n)
+    least = SWITCH * (1 - 1e-9)
+    mixed = np.flatnonzero((gain > least) | ((gain > least / 2) & (elsewhere > least)))
     if len(mixed):
         rows = np.concatenate([np.arange(begins[i], begins[i + 1]) for i in mixed])
         cuts = np.concatenate([[0], np.cumsum(np.diff(begins)[mixed])])

@@ -54,6 +54,32 @@ def test_shortcut_gives_viterbis_path(spark, medium):
         assert abs(value(np.array(got, int)) - value(path[begins[k] : begins[k + 1]])) < 1e-6
 
 
+def test_two_short_runs_and_a_compromise():
+    """No run gains more than the penalty over the compromise language c, but a and b together do."""
+    w = langid.words_of(["abc xyz"])
+    at = w.grams[0][w.bounds[0]]
+    scores = np.zeros((len(langid.ORDERS), langid.BUCKETS, 3), np.float32)
+    scores[0][at[0]], scores[0][at[1]] = (0, -20, -5), (-20, 0, -5)
+    model = langid.Model(["a", "b", "c"], scores, np.ones((len(langid.SCRIPTS) + 1, 3), bool))
+    assert at[0] != at[1] and label(model, ["abc xyz"])[2] == [[(0, 3, 0), (4, 7, 1)]]
+
+
+def test_shortcut_on_short_texts():
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + k) for k in rng.integers(0, 26, 4)) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 7))) for _ in range(3000)]
+    model = langid.Model(["a", "b", "c", "d"], (rng.normal(size=(len(langid.ORDERS), langid.BUCKETS, 4)) * 2).astype(np.float32), np.ones((len(langid.SCRIPTS) + 1, 4), bool))
+    w = langid.words_of(texts)
+    scores = sum(np.add.reduceat(model.scores[k][g], w.bounds[k], axis=0) for k, g in enumerate(w.grams)).astype(float)
+    begins = np.searchsorted(w.text, np.arange(len(texts) + 1))
+    path = viterbi(scores, begins)
+    value = lambda s, p: s[np.arange(len(p)), p].sum() - langid.SWITCH * (np.diff(p) != 0).sum()
+    for k, spans in enumerate(label(model, texts)[2]):
+        s, places = scores[begins[k] : begins[k + 1]], w.begin[begins[k] : begins[k + 1]] - w.base[k]
+        got = np.array([next(p for a, b, p in spans if a <= x < b) for x in places])
+        assert abs(value(s, got) - value(s, path[begins[k] : begins[k + 1]])) < 1e-6
+
+
 def test_spans_of_mixed_texts(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     model = fit(docs)
