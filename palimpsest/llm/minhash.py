@@ -1,8 +1,8 @@
 """Near-duplicate documents by ProbMinHash, banding and verification.
 
-A document is its set of shingles of SHINGLE words, weighted by how often each occurs (damped, so that the probability
-Jaccard that the signatures estimate stays close to the plain one). Each shingle is a Poisson process of its weight's rate,
-whose arrivals fall on random registers; a register keeps the shingle of its first arrival. A shingle ends as soon as it
+A document is its set of shingles of SHINGLE words. All have the same weight however often they occur, so the probability
+Jaccard that the signatures estimate is the plain one, by which links are asked for. Each shingle is a Poisson process of its
+weight's rate, whose arrivals fall on random registers; a register keeps the shingle of its first arrival. A shingle ends as soon as it
 comes later than the latest register, so after the first few hundred shingles most need a single arrival. All documents of
 a slice run together, arrival by arrival.
 
@@ -16,7 +16,8 @@ bucket, but for those that wouldn't change a component, and pairs are never rows
 
 Pairs are dropped early if their signatures agree in less than SIGNATURE_SHARE of the registers (for similar pairs that is
 over 7 standard deviations off), and verified by the exact Jaccard similarity of their shingles' 64-bit hashes.
-With 40 bands of 6 registers, a pair of similarity 0.8 shares no bucket with a probability of 5e-6, one of 0.9 with 1e-13.
+With 40 bands of 6 registers, a pair of similarity 0.8 shares no bucket with a probability of 5e-6, one of 0.9 with 1e-13, at whatever
+counts of the shingles in both.
 
 A document of fewer words than SHINGLE has one shingle of them all. Documents without words (null, empty) are alone in
 their classes. Rows that agree in id and text are one document. The class is named by its smallest id; null ids come first.
@@ -59,11 +60,6 @@ def shingles(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return text[first], h[first], np.diff(np.concatenate([first, [len(h)]]))
 
 
-def weights(counts: np.ndarray) -> np.ndarray:
-    """From 1 for a shingle that occurs once to 2 for 16 times and more."""
-    return 1 + np.minimum(np.log2(counts), 4) / 4
-
-
 def prob_min_hash(text: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, m: int) -> np.ndarray:
     """For each text, m registers with the hash of the shingle that came first; 0 for a text without shingles."""
     first = np.full(texts * m, np.inf)
@@ -103,8 +99,8 @@ def _signed(rows: DataFrame, bands: int, size: int) -> DataFrame:
 
         for part in pieces(batches, "text", SLICE_BYTES):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in part.column(4).to_pylist()]
-            text, h, n = shingles(texts)
-            registers = prob_min_hash(text, h, weights(n), len(texts), bands * size)
+            text, h, _ = shingles(texts)
+            registers = prob_min_hash(text, h, np.ones(len(h)), len(texts), bands * size)
             empty = np.bincount(text, minlength=len(texts)) == 0
             key = np.zeros((len(texts), bands), U64) + np.arange(bands, dtype=U64)
             with np.errstate(over="ignore"):

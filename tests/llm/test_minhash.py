@@ -87,6 +87,21 @@ def test_signatures_estimate_probability_jaccard():
     assert abs(np.mean(found) - np.mean(want)) < 0.02 and np.abs(np.array(found) - want).max() < 0.15
 
 
+def test_signatures_dont_depend_on_counts(spark):
+    """Pairs of similarity 0.8, half of whose shared shingles are repeated in one text only, the other half in the other."""
+    rows = []
+    for k in range(20):
+        p, q, x, y = ([f"{name}{k}.{i}" for i in range(n)] for name, n in (("p", 200), ("q", 200), ("x", 42), ("y", 42)))
+        rows += [(2 * k, " ".join(p * 16 + q + x)), (2 * k + 1, " ".join(p + q * 16 + y))]
+    (_, a), (_, b) = ((i, set(zip(*(t.split()[j:] for j in range(5))))) for i, t in rows[:2])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.82
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = {r.id: np.frombuffer(r.signature, np.uint8) for r in minhash._signed(minhash._rows(df, "doc_id", "text"), minhash.BANDS, minhash.ROWS).collect()}
+    share = [(signed[2 * k] == signed[2 * k + 1]).mean() for k in range(20)]
+    assert abs(np.mean(share) - 0.8) < 0.03 and min(share) > 0.68
+    assert {r.id: r.class_id for r in near_classes(df).collect()} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_shingles_count_and_stop_at_texts():
     text, h, n = shingles([b"a b c d e a b c d e", b"", b"a b c", b"a b c d e"])
     assert np.bincount(text, minlength=4).tolist() == [5, 0, 1, 1] and n.tolist().count(2) == 1
