@@ -10,15 +10,23 @@ whole run are found by their hashes, so a passage that thousands of documents sh
 
 A bucket of more than HOT entries is dealt anew: its runs are cut into pieces of FINE windows, by their distance to the
 anchor, and what a piece's windows have in common, all but FINE - 1 of their LENGTH bytes, names its bucket. So strings
-that many documents share, but too short to go, don't bring their surroundings together in one task.
+that many documents share, but too short to go, don't bring their surroundings together in one task. Where even such a bucket
+has more than HOT entries, as many documents share nearly LENGTH bytes, its windows are counted by two hashes instead, an
+aggregation with map-side combine, so that no task holds the bucket.
 
 Buckets are sorted a bounded number of bytes at a time (UNIT_BYTES), depth-limited to LENGTH: suffixes are split by their
 first COVER bytes, and longer ties are resolved by the ranks of the suffixes at a difference cover modulo COVER, which are
 computed ahead by doubling: for any two suffixes there is a distance below COVER at which both are in the cover. Equal
 neighbours in that order are repeats; no pair of copies is ever formed.
 
-Documents of equal text are sorted once; they go altogether if they have LENGTH bytes. Rows that agree in id and text count
-as several. Null texts are empty, with nothing removed. A string that is invalid UTF-8 after a cut is kept as bytes only.
+Documents of equal text are sorted once; they go altogether if they have LENGTH bytes. That texts, whole runs or windows of
+crowded buckets are equal is told by two independent 64-bit hashes, without comparing their bytes.
+
+Texts are bytes as they are. A text beyond SEGMENT_BYTES is worked on in segments that overlap by LENGTH - 1 bytes, so a task
+holds its bytes once, and arrays for a segment only. Rows that agree in id and text count as several, and each gets the same
+result; so do rows of equal ids and different texts, each its own. Null texts are empty, with nothing removed; null ids are
+ids. There are no ties: every copy of a string goes, the first too. An empty table gives an empty result. What is left after a
+cut may be invalid UTF-8 and is kept as bytes only. Other columns of the input don't take part, and may have any name.
 """
 
 from __future__ import annotations
@@ -34,7 +42,9 @@ from .lines import BASE_2, INVERSE_2
 
 LENGTH, GRAM, COVER = 400, 48, 40
 UNIT_BYTES, SLICE_BYTES = 1 << 20, 1 << 20
+#: Low bits of a key that hold a position while minima are taken; longer arrays are taken in parts.
 POSITION_BITS = 26
+SEGMENT_BYTES = 4 << 20
 HOT, FINE = 2000, 22
 
 
@@ -72,14 +82,17 @@ def hash_of(sums: np.ndarray, inverse: int, a: np.ndarray, b: np.ndarray) -> np.
 
 def sliding_argmin(key: np.ndarray, w: int) -> np.ndarray:
     """The place of the least of every w keys in a row, the first of equal ones. Keys are cut to 64 - POSITION_BITS bits."""
-    n = len(key)
-    packed = (key & U64(((1 << 64) - 1) ^ ((1 << POSITION_BITS) - 1))) | np.arange(n, dtype=U64)
+    most, n = 1 << POSITION_BITS, len(key)
+    if n > most:
+        step = most - w + 1
+        return np.concatenate([sliding_argmin(key[a : a + most], w) + a for a in range(0, n - w + 1, step)])
+    packed = (key & U64(((1 << 64) - 1) ^ (most - 1))) | np.arange(n, dtype=U64)
     rows = -(-n // w)
     full = np.full(rows * w, U64((1 << 64) - 1))
     full[:n] = packed
     ahead = np.minimum.accumulate(full.reshape(rows, w), 1).reshape(-1)
     behind = np.minimum.accumulate(full.reshape(rows, w)[:, ::-1], 1)[:, ::-1].reshape(-1)
-    return (np.minimum(behind[: n - w + 1], ahead[w - 1 : n]) & U64((1 << POSITION_BITS) - 1)).astype(np.int64)
+    return (np.minimum(behind[: n - w + 1], ahead[w - 1 : n]) & U64(most - 1)).astype(np.int64)
 
 
 class Runs:
@@ -196,7 +209,20 @@ def repeated(blocks: list[bytes], groups: np.ndarray) -> list[np.ndarray]:
 
 
 def _bytes(part, k: int) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in part.column(k).to_pylist()]
+    import pyarrow as pa
+
+    return [t or b"" for t in part.column(k).cast(pa.binary()).to_pylist()]
+
+
+def _segments(texts: list[bytes], overlap: int = LENGTH - 1):
+    """(texts' numbers, places, bytes) in lots: all texts of up to SEGMENT_BYTES in one, longer ones segment by segment."""
+    short = [i for i, t in enumerate(texts) if len(t) <= SEGMENT_BYTES]
+    if short:
+        yield np.array(short), np.zeros(len(short), np.int64), [texts[i] for i in short]
+    for i, t in enumerate(texts):
+        if len(t) > SEGMENT_BYTES:
+            for a in range(0, len(t) - overlap, SEGMENT_BYTES):
+                yield np.array([i]), np.array([a]), [t[a : a + SEGMENT_BYTES + overlap]]
 
 
 def _runs(rows: DataFrame) -> DataFrame:
@@ -205,10 +231,10 @@ def _runs(rows: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for part in pieces(batches, "text", SLICE_BYTES):
-            x = Runs(_bytes(part, 2))
+        for part, (number, begin, texts) in ((part, lot) for part in pieces(batches, "text", SLICE_BYTES) for lot in _segments(_bytes(part, 2))):
+            x = Runs(texts)
             order = np.lexsort((x.place, x.key, x.text))
-            text, key, place = x.text[order], x.key[order], x.place[order]
+            text, key, place = number[x.text[order]], x.key[order], x.place[order] + begin[x.text[order]]
             first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.empty(0, np.int64)
             t = pa.array(text[first])
             places = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place, pa.int64()))
@@ -229,23 +255,24 @@ def _blocks(rows: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for part in pieces(batches, "text", SLICE_BYTES):
-            x = Runs(_bytes(part, 2))
+        for part, (text_of, begin, texts) in ((part, lot) for part in pieces(batches, "text", SLICE_BYTES) for lot in _segments(_bytes(part, 2))):
+            x = Runs(texts)
             if not len(x.key):
                 continue
+            of_text, in_text = text_of[x.text], x.place + begin[x.text]
             # Runs of a text in order of place: those asked for.
             lists = part.column(3)
             wanted = lists.flatten()
             asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
             hot = asked[wanted.field("hot").to_numpy(zero_copy_only=False)]
-            k = np.flatnonzero(np.isin(x.text << 32 | x.place, asked))
-            split = np.isin(x.text[k] << 32 | x.place[k], hot)
+            k = np.flatnonzero(np.isin(of_text << 32 | in_text, asked))
+            split = np.isin(of_text[k] << 32 | in_text[k], hot)
             whole_runs = k[~split]
             k, skip, number, fine_key = x.fine(k[split])
             skip, number = np.concatenate([np.zeros(len(whole_runs), np.int64), skip]), np.concatenate([x.number[whole_runs], number])
             keys = np.concatenate([x.key[whole_runs], fine_key])
             k = np.concatenate([whole_runs, k])
-            a, size, place = x.at[k] + skip, number + LENGTH - 1, x.place[k] + skip
+            a, size, place = x.at[k] + skip, number + LENGTH - 1, in_text[k] + skip
             first_hash = hash_of(x.sums, INVERSE, a, a + size)
             other = hash_of(sums_of(x.data, BASE_2), INVERSE_2, a, a + size)
             order = np.lexsort((other, first_hash, keys))
@@ -257,7 +284,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
             for pick, whole in ((np.flatnonzero(new), True), (np.flatnonzero(~new), False)):
                 for c in range(0, len(pick), 4096):
                     i = pick[c : c + 4096]
-                    t = pa.array(x.text[k[i]])
+                    t = pa.array(of_text[k[i]])
                     content = pa.array([data[p:q] for p, q in zip(a[i].tolist(), (a[i] + size[i]).tolist(), strict=True)] if whole else [None] * len(i), pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key[i]), pa.array(first_hash[i].view(np.int64) if whole else size[i]), part.column(0).take(t), part.column(1).take(t), pa.array(place[i], pa.int64()), pa.array(many[i]), content],
@@ -267,6 +294,27 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _BLOCK)
 
 
+def _windows(blocks: DataFrame) -> DataFrame:
+    """Two hashes of every window of the blocks' bytes, with its place; many: whether its block is there more than once."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in pieces(batches, "bytes", SLICE_BYTES):
+            blocks = part.column(part.schema.get_field_index("bytes")).to_pylist()
+            size = np.array([len(b) for b in blocks], np.int64)
+            data = np.frombuffer(b"".join(blocks), np.uint8)
+            of = np.repeat(np.arange(len(blocks)), size - LENGTH + 1)
+            inside = np.arange(len(of)) - np.repeat(np.cumsum(size - LENGTH + 1) - (size - LENGTH + 1), size - LENGTH + 1)
+            at = (np.cumsum(size) - size)[of] + inside
+            hashes = [hash_of(sums_of(data, base), inverse, at, at + LENGTH).view(np.int64) for base, inverse in ((BASE, INVERSE), (BASE_2, INVERSE_2))]
+            t, column = pa.array(of), lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+            place = column("place").to_numpy()[of] + inside
+            yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), column("id").take(t), column("row").take(t), pa.array(place), column("many").take(t)], ["h1", "h2", "id", "row", "place", "many"])
+
+    return blocks.select("id", "row", "place", "many", "bytes").mapInArrow(run, "h1 long, h2 long, id long, row long, place long, many boolean")
+
+
 def _intervals(blocks: DataFrame) -> DataFrame:
     """blocks in order of key and hash: the repeated bytes, as id, row, begin, end."""
 
@@ -375,8 +423,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dropped(asked)
     freed(docs.sparkSession)
     known = blocks.where("bytes IS NULL").select("id", "row", F.col("place").alias("begin"), (F.col("place") + F.col("hash")).alias("end"))
-    sent = blocks.where("bytes IS NOT NULL").repartition("key").sortWithinPartitions("key", "hash", "bytes")
-    found = _intervals(sent).unionByName(known)
+    sent = blocks.where("bytes IS NOT NULL")
+    crowded = written(sent.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"), "crowded")
+    if not crowded.isEmpty():
+        windows = written(_windows(sent.join(crowded, "key", "left_semi")), "windows")
+        twice = windows.groupBy("h1", "h2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1").select("h1", "h2")
+        known = known.unionByName(windows.join(twice, ["h1", "h2"], "left_semi").select("id", "row", F.col("place").alias("begin"), (F.col("place") + LENGTH).alias("end")))
+        sent = sent.join(crowded, "key", "left_anti")
+    found = _intervals(sent.repartition("key").sortWithinPartitions("key", "hash", "bytes")).unionByName(known)
     spans = written(found.groupBy("row", "id").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
     dropped(blocks)
     freed(docs.sparkSession)
@@ -389,4 +443,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))

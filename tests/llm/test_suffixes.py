@@ -54,8 +54,34 @@ def test_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute(rows)
     assert ours(remove_repeats(df)) == want and sum(w[2] for w in want) > 10_000
+    # All buckets are dealt anew, and all of these are counted by their windows; long texts are cut into segments.
     monkeypatch.setattr(suffixes, "HOT", 0)
     assert ours(remove_repeats(df)) == want
+    monkeypatch.setattr(suffixes, "HOT", 2000)
+    monkeypatch.setattr(suffixes, "SEGMENT_BYTES", 700)
+    assert ours(remove_repeats(df)) == want
+
+
+def test_many_documents_share_almost_a_passage(spark, monkeypatch):
+    """390 shared bytes amid other ones are no repeat, whatever way their bucket is taken; one more document with 400 is."""
+    monkeypatch.setattr(suffixes, "HOT", 20)
+    rng = random.Random(5)
+    rnd = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = rnd(390)
+    rows = [(i, rnd(200) + shared + rnd(200)) for i in range(120)]
+    rows += [(900, rows[7][1][190:610]), (901, rows[7][1][190:610] + "x"), (902, rows[8][1][150:595])]
+    want = brute(rows)
+    assert ours(remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
+    assert sum(w[2] > 0 for w in want) == 5
+
+
+def test_minima_of_arrays_longer_than_their_position_bits(monkeypatch):
+    key = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)
+    key[1000:1200] = key[1000]
+    want = [int(np.argmin(key[p : p + 353])) + p for p in range(5000 - 352)]
+    assert suffixes.sliding_argmin(key, 353).tolist() == want
+    monkeypatch.setattr(suffixes, "POSITION_BITS", 10)
+    assert suffixes.sliding_argmin(key, 353).tolist() == want
 
 
 def test_documents_against_brute_force(spark, small):
