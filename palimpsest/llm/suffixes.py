@@ -19,6 +19,9 @@ first COVER bytes, and longer ties are resolved by the ranks of the suffixes at
 computed ahead by doubling: for any two suffixes there is a distance below COVER at which both are in the cover. Equal
 neighbours in that order are repeats; no pair of copies is ever formed.
 
+Beside the bytes that go, `n_passage_words` counts the words in passages of PASSAGE_WORDS words or more that start at another
+place too, whatever their length in bytes (see passages.py). They are a measure: only strings of LENGTH bytes go.
+
 Documents of equal text are sorted once; they go altogether if they have LENGTH bytes. That texts, whole runs or windows of
 crowded buckets are equal is told by two independent 64-bit hashes, without comparing their bytes.
 
@@ -37,13 +40,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, INVERSE, U64, dropped, freed, mix, pieces, powers, written
+from .common import BASE, INVERSE, U64, dropped, freed, mix, pieces, written
 from .lines import BASE_2, INVERSE_2
+from .passages import PASSAGE_WORDS, word_runs, word_windows
+from .windows import hash_of, sums_of, window_runs
 
 LENGTH, GRAM, COVER = 400, 48, 40
 UNIT_BYTES, SLICE_BYTES = 1 << 20, 1 << 20
-#: Low bits of a key that hold a position while minima are taken; longer arrays are taken in parts.
-POSITION_BITS = 26
 SEGMENT_BYTES = 4 << 20
 HOT, FINE = 2000, 22
 
@@ -70,31 +73,6 @@ DISTANCES = distances(COVER)
 IN_COVER = np.isin(np.arange(COVER), cover(COVER))
 
 
-def sums_of(data: np.ndarray, base: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate([np.zeros(1, U64), np.cumsum(BYTE_VALUES[data] * powers(base, len(data)))])
-
-
-def hash_of(sums: np.ndarray, inverse: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix((sums[b] - sums[a]) * powers(inverse, len(sums))[a] + (b - a).astype(U64))
-
-
-def sliding_argmin(key: np.ndarray, w: int) -> np.ndarray:
-    """The place of the least of every w keys in a row, the first of equal ones. Keys are cut to 64 - POSITION_BITS bits."""
-    most, n = 1 << POSITION_BITS, len(key)
-    if n > most:
-        step = most - w + 1
-        return np.concatenate([sliding_argmin(key[a : a + most], w) + a for a in range(0, n - w + 1, step)])
-    packed = (key & U64(((1 << 64) - 1) ^ (most - 1))) | np.arange(n, dtype=U64)
-    rows = -(-n // w)
-    full = np.full(rows * w, U64((1 << 64) - 1))
-    full[:n] = packed
-    ahead = np.minimum.accumulate(full.reshape(rows, w), 1).reshape(-1)
-    behind = np.minimum.accumulate(full.reshape(rows, w)[:, ::-1], 1)[:, ::-1].reshape(-1)
-    return (np.minimum(behind[: n - w + 1], ahead[w - 1 : n]) & U64(most - 1)).astype(np.int64)
-
-
 class Runs:
     """The runs of windows of some texts: text, first window's place in it, number of windows, bucket key."""
 
@@ -107,23 +85,8 @@ class Runs:
         if len(data) < LENGTH:
             return
         self.sums = sums_of(data, BASE)
-        p = np.arange(len(data) - GRAM + 1)
-        anchor = sliding_argmin(hash_of(self.sums, INVERSE, p, p + GRAM), LENGTH - GRAM + 1)
-        of = np.repeat(np.arange(len(texts)), np.diff(base))[: len(anchor)]
-        p = np.flatnonzero(np.arange(len(anchor)) + LENGTH <= base[of + 1])
-        if not len(p):
-            return
-        a = anchor[p]
-        half = (LENGTH - GRAM) // 2
-        side = a - p <= half
-        begin = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (side[1:] != side[:-1]) | (of[p][1:] != of[p][:-1])]))
-        number = np.diff(np.concatenate([begin, [len(p)]]))
-        p, a, side = p[begin], a[begin], side[begin]
-        # What all windows of that side have in common: from the anchor on, or up to its end.
-        low, high = np.where(side, a, a - half - 1), np.where(side, a + LENGTH - half, a + GRAM)
-        with np.errstate(over="ignore"):
-            self.key = mix(hash_of(self.sums, INVERSE, low, high) + side.astype(U64)).view(np.int64)
-        self.text, self.place, self.number, self.at, self.anchor = of[p], p - base[of[p]], number, p, a
+        self.text, self.at, self.number, self.key, self.anchor = window_runs(self.sums, base, LENGTH, GRAM)
+        self.place = self.at - base[self.text]
 
     def fine(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Runs k in pieces of FINE windows at most: (run, distance of the first window, number of windows, bucket key)."""
@@ -226,21 +189,28 @@ def _segments(texts: list[bytes], overlap: int = LENGTH - 1):
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """rows: id, row, text. The runs of all texts, without their bytes; one row for each text and bucket."""
+    """rows: id, row, text. The runs of all texts, of bytes and of words, without them; one row for each text and bucket."""
+
+    def lots(texts):
+        for number, begin, some in _segments(texts):
+            x = Runs(some)
+            yield number[x.text], x.key, x.place + begin[x.text], False
+        for x in word_runs(texts):
+            yield x.text, x.key, x.place, True
 
     def run(batches):
         import pyarrow as pa
 
-        for part, (number, begin, texts) in ((part, lot) for part in pieces(batches, "text", SLICE_BYTES) for lot in _segments(_bytes(part, 2))):
-            x = Runs(texts)
-            order = np.lexsort((x.place, x.key, x.text))
-            text, key, place = number[x.text[order]], x.key[order], x.place[order] + begin[x.text[order]]
-            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.empty(0, np.int64)
-            t = pa.array(text[first])
-            places = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place, pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(t), part.column(1).take(t), pa.array(key[first]), places], ["id", "row", "key", "places"])
+        for part in pieces(batches, "text", SLICE_BYTES):
+            for text, key, place, words in lots(_bytes(part, 2)):
+                order = np.lexsort((place, key, text))
+                text, key, place = text[order], key[order], place[order]
+                first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.empty(0, np.int64)
+                t = pa.array(text[first])
+                places = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(t), part.column(1).take(t), pa.array(key[first]), pa.array(np.full(len(first), words)), places], ["id", "row", "key", "words", "places"])
 
-    return rows.where(f"octet_length(text) >= {LENGTH}").mapInArrow(run, "id long, row long, key long, places array<long>")
+    return rows.mapInArrow(run, "id long, row long, key long, words boolean, places array<long>")
 
 
 _BLOCK = "key long, hash long, id long, row long, place long, many boolean, bytes binary"
@@ -264,6 +234,8 @@ def _blocks(rows: DataFrame) -> DataFrame:
             lists = part.column(3)
             wanted = lists.flatten()
             asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
+            bytes_ = ~wanted.field("words").to_numpy(zero_copy_only=False)
+            wanted, asked = wanted.filter(pa.array(bytes_)), asked[bytes_]
             hot = asked[wanted.field("hot").to_numpy(zero_copy_only=False)]
             k = np.flatnonzero(np.isin(of_text << 32 | in_text, asked))
             split = np.isin(of_text[k] << 32 | in_text[k], hot)
@@ -368,8 +340,40 @@ def _intervals(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "id long, row long, begin long, end long")
 
 
+def _repeated_words(rows: DataFrame) -> DataFrame:
+    """rows: id, row, text, places. The windows of words in the runs that begin there, which stand elsewhere too."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in pieces(batches, "text", SLICE_BYTES):
+            lists = part.column(3)
+            wanted = lists.flatten()
+            asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
+            asked = asked[wanted.field("words").to_numpy(zero_copy_only=False)]
+            if len(asked):
+                for text, place, h1, h2 in word_windows(_bytes(part, 2), asked):
+                    t = pa.array(text)
+                    yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), part.column(0).take(t), part.column(1).take(t), pa.array(place)], ["h1", "h2", "id", "row", "place"])
+
+    windows = written(rows.mapInArrow(run, "h1 long, h2 long, id long, row long, place long"), "words")
+    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    return windows.join(twice, ["h1", "h2"], "left_semi").select("id", "row", F.col("place").alias("begin"), (F.col("place") + PASSAGE_WORDS).alias("end"))
+
+
+def _merged(spans) -> list[list[int]]:
+    out: list[list[int]] = []
+    for s in sorted((s["begin"], s["end"]) for s in spans or ()):
+        if out and s[0] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], s[1])
+        else:
+            out.append(list(s))
+    return out
+
+
 def _cut(rows: DataFrame) -> DataFrame:
-    """rows: id, text, many, spans (array of begin, end). The digest of what is left, and the spans that go."""
+    """rows: id, text, many, spans, passages (arrays of begin, end; bytes and words). The digest of what is left, and the
+    spans that go."""
 
     def run(batches):
         import pyarrow as pa
@@ -377,41 +381,35 @@ def _cut(rows: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for part in pieces(batches, "text"):
             out = []
-            for text, many, spans in zip(_bytes(part, 1), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                if many and len(text) >= LENGTH:
-                    merged = [[0, len(text)]]
-                else:
-                    merged = []
-                    for s in sorted((s["begin"], s["end"]) for s in spans or ()):
-                        if merged and s[0] <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], s[1])
-                        else:
-                            merged.append(list(s))
+            for text, many, spans, passages in zip(_bytes(part, 1), *[part.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
+                merged = [[0, len(text)]] if many and len(text) >= LENGTH else _merged(spans)
                 left, at = hashlib.sha256(), 0
                 for b, e in merged:
                     left.update(text[at:b])
                     at = e
                 left.update(text[at:])
-                out.append((len(text), sum(e - b for b, e in merged), len(merged), left.hexdigest(), [{"begin": b, "end": e} for b, e in merged]))
-            n, removed, spans, digest, kept = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest), pa.array(kept, kind)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+                words = len(text.split()) if many else sum(e - b for b, e in _merged(passages))
+                out.append((len(text), sum(e - b for b, e in merged), len(merged), left.hexdigest(), [{"begin": b, "end": e} for b, e in merged], words if words >= PASSAGE_WORDS else 0))
+            n, removed, spans, digest, gone, words = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest), pa.array(words, pa.int64()), pa.array(gone, kind)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "spans"])
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin: bigint, end: bigint>>")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long, spans array<struct<begin: bigint, end: bigint>>")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges that go) for each row of `docs`."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words, spans (byte ranges that go) for each row of `docs`."""
     i, t = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"]
     base = docs.select(i.alias("id"), F.xxhash64(i, t).alias("row"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2"), t.alias("text"))
     same = lambda x, y: (x["row"] == y["row"]) & x["id"].eqNullSafe(y["id"])
-    long = base.where(f"octet_length(text) >= {LENGTH}")
+    # A passage of words has a byte and a space for each at least.
+    long = base.where(f"octet_length(text) >= {min(LENGTH, 2 * PASSAGE_WORDS - 1)}")
     # One row of each text takes part; equal texts go altogether.
     names = written(long.groupBy("t1", "t2").agg(F.min(F.struct("id", "row")).alias("head"), F.count("*").alias("n")), "texts")
     heads = names.select("head.id", "head.row")
     runs = written(_runs(long.select("id", "row", "text")), "runs")
     freed(docs.sparkSession)
     twice = runs.groupBy("key").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
-    wanted = runs.join(twice, "key").select("row", "id", F.transform("places", lambda p: F.struct(p.alias("place"), F.col("hot").alias("hot"))).alias("places"))
+    wanted = runs.join(twice, "key").select("row", "id", F.transform("places", lambda p: F.struct(p.alias("place"), F.col("hot").alias("hot"), F.col("words").alias("words"))).alias("places"))
     asked = wanted.groupBy("row", "id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     asked = asked.join(heads, same(asked, heads), "left_semi")
     asked = written(asked, "asked")
@@ -419,8 +417,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     freed(docs.sparkSession)
     one = long.select("id", "row", "text")
     chosen = one.join(asked, same(one, asked)).groupBy(one["row"], one["id"]).agg(F.first("text").alias("text"), F.first("places").alias("places")).select("id", "row", "text", "places")
-    blocks = written(_blocks(chosen), "blocks")
+    chosen = written(chosen, "chosen")
     dropped(asked)
+    passages = _repeated_words(chosen)
+    blocks = written(_blocks(chosen), "blocks")
+    dropped(chosen)
     freed(docs.sparkSession)
     known = blocks.where("bytes IS NULL").select("id", "row", F.col("place").alias("begin"), (F.col("place") + F.col("hash")).alias("end"))
     sent = blocks.where("bytes IS NOT NULL")
@@ -431,15 +432,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         known = known.unionByName(windows.join(twice, ["h1", "h2"], "left_semi").select("id", "row", F.col("place").alias("begin"), (F.col("place") + LENGTH).alias("end")))
         sent = sent.join(crowded, "key", "left_anti")
     found = _intervals(sent.repartition("key").sortWithinPartitions("key", "hash", "bytes")).unionByName(known)
-    spans = written(found.groupBy("row", "id").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
+    both = found.withColumn("words", F.lit(False)).unionByName(passages.withColumn("words", F.lit(True)))
+    pair = F.struct("begin", "end")
+    spans = both.groupBy("row", "id").agg(F.collect_list(F.when(~F.col("words"), pair)).alias("spans"), F.collect_list(F.when(F.col("words"), pair)).alias("passages"))
+    spans = written(spans, "spans")
     dropped(blocks)
     freed(docs.sparkSession)
     # Copies are known by their text, the others' spans by their row; both are narrow, so the texts move once.
     copies = names.where("n > 1").select(F.col("t1").alias("x1"), F.col("t2").alias("x2"))
     rows = base.select("id", "row", "t1", "t2", "text")
     verdict = long.select("id", "row", "t1", "t2").join(copies, (F.col("t1") == F.col("x1")) & (F.col("t2") == F.col("x2")), "left_semi").select("id", "row").distinct().withColumn("many", F.lit(True))
-    both = spans.join(verdict, same(spans, verdict), "full").select(F.coalesce(spans["row"], verdict["row"]).alias("row"), F.coalesce(spans["id"], verdict["id"]).alias("id"), F.coalesce("many", F.lit(False)).alias("many"), "spans")
-    return _cut(rows.join(both, same(rows, both), "left").select(rows["id"], "text", F.coalesce("many", F.lit(False)).alias("many"), "spans"))
+    both = spans.join(verdict, same(spans, verdict), "full").select(F.coalesce(spans["row"], verdict["row"]).alias("row"), F.coalesce(spans["id"], verdict["id"]).alias("id"), F.coalesce("many", F.lit(False)).alias("many"), "spans", "passages")
+    return _cut(rows.join(both, same(rows, both), "left").select(rows["id"], "text", F.coalesce("many", F.lit(False)).alias("many"), "spans", "passages"))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

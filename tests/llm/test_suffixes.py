@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from palimpsest.llm import suffixes
+from palimpsest.llm import passages, suffixes, windows
 from palimpsest.llm.suffixes import LENGTH, op3_suffix_dedup, remove_repeats
 
 
@@ -24,6 +24,12 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
+def brute_words(rows, k=51):
+    words = [(t or "").encode().split() for _, t in rows]
+    count = Counter(tuple(w[p : p + k]) for w in words for p in range(len(w) - k + 1))
+    return sorted((i, len({p + j for p in range(len(w) - k + 1) if count[tuple(w[p : p + k])] > 1 for j in range(k)})) for (i, _), w in zip(rows, words))
+
+
 def ours(df):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()), key=repr)
 
@@ -54,12 +60,33 @@ def test_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute(rows)
     assert ours(remove_repeats(df)) == want and sum(w[2] for w in want) > 10_000
-    # All buckets are dealt anew, and all of these are counted by their windows; long texts are cut into segments.
+    # All buckets are dealt anew, and all of these are counted by their windows.
     monkeypatch.setattr(suffixes, "HOT", 0)
     assert ours(remove_repeats(df)) == want
-    monkeypatch.setattr(suffixes, "HOT", 2000)
-    monkeypatch.setattr(suffixes, "SEGMENT_BYTES", 700)
-    assert ours(remove_repeats(df)) == want
+
+
+def test_segments_give_the_same_runs(monkeypatch):
+    """Long texts are taken in segments: the same windows with the same keys, though a run may be cut."""
+    texts = [(t or "").encode() for _, t in corpus(4)]
+
+    def windows_of(segment):
+        monkeypatch.setattr(suffixes, "SEGMENT_BYTES", segment)
+        out = set()
+        for number, begin, some in suffixes._segments(texts):
+            x = suffixes.Runs(some)
+            for t, p, n, key in zip(x.text.tolist(), x.place.tolist(), x.number.tolist(), x.key.tolist()):
+                out |= {(int(number[t]), int(begin[t]) + p + k, key) for k in range(n)}
+        return out
+
+    def words_of(segment, words):
+        monkeypatch.setattr(passages, "SEGMENT_BYTES", segment)
+        monkeypatch.setattr(passages, "SEGMENT_WORDS", words)
+        return {(t, p + k, key) for x in passages.word_runs(texts) for t, p, n, key in zip(x.text.tolist(), x.place.tolist(), x.number.tolist(), x.key.tolist()) for k in range(n)}
+
+    whole = windows_of(1 << 20)
+    assert whole == windows_of(700) and len(whole) > 10_000
+    whole = words_of(1 << 20, 1 << 19)
+    assert whole == words_of(60, 70) and len(whole) > 1000
 
 
 def test_many_documents_share_almost_a_passage(spark, monkeypatch):
@@ -79,9 +106,9 @@ def test_minima_of_arrays_longer_than_their_position_bits(monkeypatch):
     key = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)
     key[1000:1200] = key[1000]
     want = [int(np.argmin(key[p : p + 353])) + p for p in range(5000 - 352)]
-    assert suffixes.sliding_argmin(key, 353).tolist() == want
-    monkeypatch.setattr(suffixes, "POSITION_BITS", 10)
-    assert suffixes.sliding_argmin(key, 353).tolist() == want
+    assert windows.sliding_argmin(key, 353).tolist() == want
+    monkeypatch.setattr(windows, "POSITION_BITS", 10)
+    assert windows.sliding_argmin(key, 353).tolist() == want
 
 
 def test_documents_against_brute_force(spark, small):
@@ -89,6 +116,26 @@ def test_documents_against_brute_force(spark, small):
     assert ours(op3_suffix_dedup(spark, small)) == brute(rows)
 
 
+def test_passages_of_words_against_brute_force(spark, medium):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 3)))
+    shared = [[word() for _ in range(n)] for n in (49, 50, 51, 52, 60, 140)]
+    rows = []
+    for i in range(60):
+        w = [word() for _ in range(rng.randint(0, 200))]
+        if rng.random() < 0.7:
+            at = rng.randint(0, len(w))
+            w[at:at] = rng.choice(shared)
+        rows.append((i, "".join(x + rng.choice([" ", "\n", "  "]) for x in w)))
+    rows += [(100, None), (101, ""), (102, rows[3][1]), (103, " ".join(shared[2])), (104, "x " * 55), (105, "one two"), (106, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_words(rows)
+    found = lambda df: sorted((r.doc_id, r.n_passage_words) for r in df.collect())
+    assert found(remove_repeats(df)) == want and sum(n > 0 for _, n in want) > 20
+    docs = [tuple(r) for r in spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").collect()]
+    assert found(op3_suffix_dedup(spark, medium)) == brute_words(docs)
+
+
 def test_difference_cover_covers():
     for v in (5, 16, 40, 50):
         d = set(suffixes.cover(v).tolist())
