@@ -1,123 +1,244 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-Each component is quantised into one of 16 cells of its dimension. The cells' bounds give every candidate an upper and a
-lower bound of its inner product with a query. A block of candidates is scanned by its cells alone; then exact vectors are
-read in the order of their upper bounds until the k-th result so far can't be beaten. Blocks' results are merged by Spark.
+1. Each component is quantised into one of CELLS cells of its dimension, within a block of BLOCK_ROWS vectors. A map over the
+   table writes files of blocks into the shared folder: first the cells of a block, two to a byte, with its ids, and behind
+   them its exact vectors. A listing with a row for each block is a table beside them. Nothing is shuffled for that.
+2. The queries are dealt to tasks, QUERY_ROWS at most to a search. A search scans the cells of one block after the other. They
+   bound each candidate's score from both sides. Only candidates whose upper bound reaches a query's k-th best score so far
+   have their exact vectors read, in the order of these bounds, until the k-th result is certain.
 
-Queries (a stated set) meet candidates in blocks: candidates are dealt to blocks of BLOCK_ROWS by a hash, packed into one
-row each, and every packed block of queries is sent to every block of candidates. A task holds one of either, so memory
-doesn't grow with the table; nothing is broadcast. The cells of a block come from that block's own range of values.
+A task holds its queries, their k best so far and one block, whatever the size of the table; queries are the one thing
+shuffled, and no block is ever paired with another in an exchange. Files go under a name of the task's attempt, and the
+listing names those of attempts that were finished, so retried tasks and lost executors leave one whole set.
 
 Vectors that are null, or hold a null or a non-finite component, take no part; neither do rows without an id, or vectors
-of another length than the query's. Ties go to the smaller id; rows of the same id are candidates of their own, but a
-query's own id is never a candidate. Fewer than k candidates give fewer results; an empty table gives none.
+of another length than the query's. Ties go to the smaller id. Rows are told apart by their number: a query's own row is
+never a candidate, but rows that repeat its id or vector are, and repeated query rows have k results each. Fewer than k
+candidates give fewer results; an empty table gives none. There are no texts. Other columns may have any name.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fs_of, scratch, written
 
-BLOCK_ROWS, QUERY_ROWS, CELLS, STEP = 4096, 512, 16, 64
+BLOCK_ROWS, QUERY_ROWS, CELLS, STEP = 4096, 2048, 16, 64
+#: Bytes between two wanted vectors that are read rather than skipped.
+GAP = 1 << 13
+LISTING = "path string, at long, n long, d long"
 
 
 def approximate(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(cells, lower bounds, upper bounds) of integer vectors: cell numbers, and the bounds by (cell, dimension).
-
-    Cells are equal parts of a dimension's range; a bound is the least or greatest component that is in the cell.
-    """
+    """(cells, least value of cell 0, cells' width) of integer vectors, by dimension. Cells are equal parts of its range."""
     low, high = x.min(0), x.max(0)
     width = np.maximum(1, -(-(high - low + 1) // CELLS))
-    cells = ((x - low) // width).astype(np.uint8)
-    lower = low + np.arange(CELLS)[:, None] * width
-    return cells, lower, np.minimum(lower + width - 1, high)
-
-
-def search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """The k best candidates of each query: (query, candidate, score) by number. Integer vectors; x in order of ids."""
-    cells, lower, upper = approximate(x)
-    d = np.arange(x.shape[1])
-    low, high = lower[cells, d].astype(np.float64), upper[cells, d].astype(np.float64)
-    up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-    # Products of integers below 2**53 are exact; `slack` covers sums beyond.
-    most = up @ high.T + down @ low.T
-    least = up @ low.T + down @ high.T
-    slack = np.abs(most).max() * 2.0**-40 if np.abs(most).max() > 2.0**50 else 0.0
-    out = []
-    for q in range(len(queries)):
-        own = ids == query_ids[q]
-        n = len(x) - int(own.sum())
-        if not n:
-            continue
-        top = min(k, n)
-        bound, safe = most[q], least[q]
+    return ((x - low) // width).astype(np.uint8), low, width
+
+
+class Block:
+    """A block in its file: low, width, ids, rows, cells (two to a byte), exact vectors; all but cells of 8 bytes."""
+
+    @staticmethod
+    def packed(ids: np.ndarray, rows: np.ndarray, x: np.ndarray) -> bytes:
+        cells, low, width = approximate(x)
+        if cells.shape[1] % 2:
+            cells = np.pad(cells, ((0, 0), (0, 1)))
+        return b"".join(a.tobytes() for a in (low.astype("<i8"), width.astype("<i8"), ids.astype("<i8"), rows.astype("<i8"), cells[:, ::2] | cells[:, 1::2] << 4, x.astype("<i8")))
+
+    def __init__(self, source, at: int, n: int, d: int):
+        """Reads the cells; source: pyarrow's random-access file."""
+        self.source, self.n, self.d = source, n, d
+        half = (d + 1) // 2
+        head = 16 * (d + n)
+        data = source.read_at(head + n * half, at)
+        self.exact = at + head + n * half
+        self.low, self.width, self.ids, self.rows = (np.frombuffer(data, "<i8", size, 8 * a) for size, a in ((d, 0), (d, d), (n, 2 * d), (n, 2 * d + n)))
+        both = np.frombuffer(data, np.uint8, n * half, head).reshape(n, half)
+        self.cells = np.stack([both & 15, both >> 4], 2).reshape(n, 2 * half)[:, :d]
+
+    def vectors(self, which: np.ndarray) -> np.ndarray:
+        """Exact vectors of some candidates, in ascending order: neighbours in one read."""
+        size = 8 * self.d
+        if not self.d:
+            return np.zeros((len(which), 0), np.int64)
+        cuts = np.flatnonzero(np.diff(which) * size > GAP + size) + 1
+        out = []
+        for part in np.split(which, cuts):
+            first, last = int(part[0]), int(part[-1])
+            data = self.source.read_at((last - first + 1) * size, self.exact + first * size)
+            out.append(np.frombuffer(data, "<i8").reshape(-1, self.d)[part - first])
+        return np.concatenate(out)
+
+
+class Search:
+    """The k best candidates of some queries of one length, block by block."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, k: int):
+        self.ids, self.rows, self.q, self.k = ids, rows, q, k
+        #: Results so far, best first; unused places have the lowest score.
+        self.score = np.full((len(q), k), np.iinfo(np.int64).min)
+        self.found = np.full((len(q), k), np.iinfo(np.int64).max)
+        self.number = np.zeros(len(q), np.int64)
+        self.up, self.down = np.maximum(q, 0), np.minimum(q, 0)
+        self.read = 0
+
+    def scan(self, b: Block) -> None:
+        q, n = self.q, b.n
+        # q . low(cell): a product with the cells alone. Exact in float32 or float64 while the sums stay in their integers.
+        scaled = q * b.width
+        most = int(np.abs(scaled).sum(1).max(initial=0)) * (CELLS - 1)
+        kind = np.float32 if most < 1 << 24 else np.float64
+        product = scaled.astype(kind) @ b.cells.T.astype(kind)
+        slack = 0.0 if most < 1 << 53 else most * 2.0**-40
+        # What a whole cell adds at most, and takes away at most, is the same for all candidates.
+        base = (q @ b.low).astype(np.float64)
+        above, below = base + self.up @ (b.width - 1) + slack, base + self.down @ (b.width - 1) - slack
+        own = np.isin(b.rows, self.rows)
         if own.any():
-            bound, safe = np.where(own, -np.inf, bound), np.where(own, -np.inf, safe)
-        # The k-th best lower bound: what is surely below it is never read.
-        certain = np.partition(safe, len(safe) - top)[len(safe) - top]
-        rest = np.flatnonzero((bound >= certain - slack) & ~own)
-        rest = rest[np.argsort(-bound[rest], kind="stable")]
-        best = np.empty((0, 2), np.int64)
-        for a in range(0, len(rest), STEP):
-            if len(best) == top and bound[rest[a]] + slack < best[-1, 0]:
+            for c in np.flatnonzero(own):
+                product[self.rows == b.rows[c], c] = -np.inf
+        worst = self.score[:, -1].astype(np.float64)
+        new = np.flatnonzero(self.number < self.k)
+        if len(new) and n > self.k:
+            # No k results yet: the block's own k-th best lower bound is a bound too.
+            worst[new] = np.maximum(worst[new], np.partition(product[new], n - self.k, 1)[:, n - self.k] + below[new])
+        # Rounded down where the product's kind is the coarser one.
+        of, c = np.nonzero(product >= np.nextafter((worst - above).astype(kind), -np.inf)[:, None])
+        bound = product[of, c] + above[of]
+        fine = np.isfinite(bound)
+        of, c, bound = of[fine], c[fine], bound[fine]
+        order = np.lexsort((-bound, of))
+        of, c, bound = of[order], c[order], bound[order]
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        for a in range(0, int(place.max(initial=-1)) + 1, STEP):
+            near = (place >= a) & (place < a + STEP) & ((self.number[of] < self.k) | (bound >= self.score[of, -1]))
+            if not near.any():
                 break
-            near = rest[a : a + STEP]
-            best = np.concatenate([best, np.stack([x[near] @ queries[q], near], 1)])
-            best = best[np.lexsort((best[:, 1], -best[:, 0]))[:top]]
-        out += [(q, int(c), int(s)) for s, c in best]
-    return out
+            self._exact(b, of[near], c[near])
 
+    def _exact(self, b: Block, of: np.ndarray, c: np.ndarray) -> None:
+        """Reads the vectors of some pairs and keeps the best."""
+        which, at = np.unique(c, return_inverse=True)
+        x = b.vectors(which)
+        self.read += len(which)
+        score = np.empty(len(of), np.int64)
+        for i in range(0, len(of), 1 << 16):
+            score[i : i + (1 << 16)] = np.einsum("ij,ij->i", self.q[of[i : i + (1 << 16)]], x[at[i : i + (1 << 16)]])
+        touched = np.unique(of)
+        k = self.k
+        all_of = np.concatenate([np.repeat(touched, k), of])
+        all_score, all_found = np.concatenate([self.score[touched].reshape(-1), score]), np.concatenate([self.found[touched].reshape(-1), b.ids[c]])
+        unused = np.concatenate([(np.arange(k) >= self.number[touched][:, None]).reshape(-1), np.zeros(len(of), bool)])
+        order = np.lexsort((all_found, ~all_score, unused, all_of))
+        all_of, all_score, all_found = all_of[order], all_score[order], all_found[order]
+        first = np.searchsorted(all_of, touched)
+        pick = first[:, None] + np.arange(k)
+        self.score[touched], self.found[touched] = all_score[pick], all_found[pick]
+        self.number[touched] = np.minimum(k, self.number[touched] + np.bincount(of, minlength=len(self.q))[touched])
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """vectors, queries: id long, v array<long>, in which nothing is null. Returns query_id, rank, vec_id, score."""
-    spark = vectors.sparkSession
-    vectors, queries = written(vectors, "vectors"), written(queries, "queries")
-    blocks = max(1, -(-vectors.count() // block_rows))
-    parts = max(1, -(-queries.count() // query_rows))
+    def results(self):
+        """(query, rank, candidate, score) by number and id."""
+        of, rank = np.nonzero(np.arange(self.k) < self.number[:, None])
+        return self.ids[of], rank + 1, self.found[of, rank], self.score[of, rank]
 
-    def packed(rows: DataFrame, n: int, name: str) -> DataFrame:
-        # Of one length to a block, so that a block is a matrix.
-        items = rows.select(F.pmod(F.xxhash64("id"), F.lit(n)).alias(name), F.size("v").alias("d"), F.struct("id", "v").alias("item"))
-        return items.groupBy(name, "d").agg(F.sort_array(F.collect_list("item")).alias(f"{name}_items")).withColumnRenamed("d", f"{name}_d")
 
-    candidates = packed(vectors, blocks, "c")
-    # A copy of each block of queries for each block of candidates.
-    asked = packed(queries, parts, "q").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+def _arrays(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """id, row, length and the joined components of an Arrow batch of vectors."""
+    v = batch.column(2)
+    return batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.diff(v.offsets.to_numpy()), v.flatten().to_numpy()
+
+
+def _groups(batches, most: int):
+    """(ids, rows, matrix) of up to `most` vectors of one length, as they come."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        ids, rows, length, values = _arrays(batch)
+        begin = np.cumsum(length) - length
+        for d in np.unique(length).tolist():
+            at = np.flatnonzero(length == d)
+            part = (ids[at], rows[at], values[begin[at][:, None] + np.arange(d)])
+            have = held.get(d)
+            part = tuple(np.concatenate(x) for x in zip(have, part, strict=True)) if have else part
+            while len(part[0]) >= most:
+                yield tuple(x[:most] for x in part)
+                part = tuple(x[most:] for x in part)
+            held[d] = part
+    yield from (x for x in held.values() if len(x[0]))
+
+
+def approximation_file(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """vectors: id, row, v array<long>. Writes the file of blocks and returns its listing, a written table."""
+    out = scratch(vectors.sparkSession, "cells")
+
+    def write(batches):
+        import pyarrow as pa
+
+        fs, folder = fs_of(out)
+        fs.create_dir(folder, recursive=True)
+        name, at, listed, stream = uuid.uuid4().hex, 0, [], None
+        for ids, rows, x in _groups(batches, block_rows):
+            stream = stream or fs.open_output_stream(f"{folder}/{name}")
+            data = Block.packed(ids, rows, x)
+            stream.write(data)
+            listed.append((f"{out}/{name}", at, *x.shape))
+            at += len(data)
+        if listed:
+            stream.close()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*listed, strict=True)], ["path", "at", "n", "d"])
+
+    return written(vectors.select("id", "row", "v").mapInArrow(write, LISTING), "blocks")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """vectors, queries: id, row (a number of its own, equal where a query is a candidate's row), v array<long>, in which
+    nothing is null. Returns query_id, rank, vec_id, score."""
+    spark = vectors.sparkSession
+    blocks = approximation_file(vectors, block_rows)
+    listing = blocks.inputFiles()
+    folder = listing[0].rpartition("/")[0] if listing else None
+    # Enough tasks for all cores, and no more queries in one than a few searches take.
+    asked = queries.count()
+    parts = max(1, min(-(-asked // 16), 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-asked // (4 * query_rows)))
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.dataset as ds
+
+        if folder is None:
+            return
+        fs, name = fs_of(folder)
+        for ids, rows, q in _groups(batches, query_rows):
+            search, path, source = Search(ids, rows, q, k), None, None
+            # The listing too is read as a stream.
+            for part in ds.dataset(name, format="parquet", filesystem=fs).to_batches():
+                for p, at, n, d in zip(*[part.column(c).to_pylist() for c in ("path", "at", "n", "d")], strict=True):
+                    if d != q.shape[1]:
+                        continue
+                    if p != path:
+                        if source:
+                            source.close()
+                        path, source = p, fs_of(p)[0].open_input_file(fs_of(p)[1])
+                    search.scan(Block(source, at, n, d))
+            if source:
+                source.close()
+            query, rank, found, score = search.results()
+            yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(rank, pa.int32()), pa.array(found, pa.int64()), pa.array(score, pa.int64())], ["query_id", "rank", "vec_id", "score"])
 
-        for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("c_items", "q_items")]
-            for r in range(batch.num_rows):
-                sides = []
-                for c in columns:
-                    items = c.slice(r, 1).flatten()
-                    ids, v = items.field("id").to_numpy(), items.field("v")
-                    sides.append((ids, v.flatten().to_numpy().reshape(len(ids), -1)))
-                (ids, x), (query_ids, q) = sides
-                found = search(q, query_ids, x, ids, k) if x.shape[1] else [(i, j, 0) for i, y in enumerate(query_ids) for j in np.flatnonzero(ids != y)[:k].tolist()]
-                if found:
-                    i, j, s = map(np.array, zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(query_ids[i]), pa.array(ids[j]), pa.array(s, pa.int64())], ["query_id", "vec_id", "score"])
-
-    # Blocks aren't broadcast: their number grows with the table.
-    pairs = asked.hint("merge").join(candidates, (asked.c == candidates.c) & (asked.q_d == candidates.c_d)).select("c_items", "q_items")
-    found = pairs.repartition(min(blocks * parts, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(run, "query_id long, vec_id long, score long")
-    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return queries.select("id", "row", "v").repartition(parts, "row").mapInArrow(run, "query_id long, rank int, vec_id long, score long")
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """id, v: floor(scale * x) of each component; rows that can't take part are left out."""
+    """id, row, v: floor(scale * x) of each component, as a written table; rows that can't take part are left out."""
     v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = table.select(table[f"`{id_col}`"].cast("long").alias("id"), table[f"`{vector_col}`"].cast("array<double>").alias("v"))
-    return rows.where(F.col("id").isNotNull() & v.isNotNull() & fine).select("id", F.transform(v, lambda x: F.floor(x * F.lit(float(scale)))).alias("v"))
+    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & fine)
+    return written(rows.select("id", F.monotonically_increasing_id().alias("row"), F.transform(v, lambda x: F.floor(x * F.lit(float(scale)))).alias("v")), "vectors")
 
 
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,14 +248,14 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
-  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+  FROM v AS q JOIN v AS c ON q.r <> c.r
   WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM t WHERE rank <= 20
 """
