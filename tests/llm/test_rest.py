@@ -119,6 +119,34 @@ def test_overlapping_sources(spark):
     assert max(r["count"] for r in got) <= 2 and abs(sum(r["count"] for r in got if r.doc_id < 120) * 10 - 1205) < 120
 
 
+def test_a_source_of_equal_rows_is_cut_among_them(spark):
+    """1000 equal rows of 4 words, and a target that takes some of them only: within a document of the target."""
+    df = spark.range(1000).select(F.lit(5).alias("doc_id"), F.lit("a").alias("source"), F.lit("a b c d").alias("text"))
+    both = df.unionByName(spark.range(100).select(F.col("id").alias("doc_id"), F.lit("b").alias("source"), F.lit("x y z").alias("text")))
+    for share, docs in ((0.7, df), (0.4, both), (1.3, both)):
+        sized = mixing.sized_table(docs, 7, "source", "doc_id", "text")
+        plan = mixing.plan_mix(sized, share=share)
+        got = {r["__pattern"]: r.n for r in plan.copies(sized).groupBy("__pattern").agg(F.sum(F.col("__copies") * F.col("__size")).alias("n")).collect()}
+        want = {r["__pattern"]: r["__target"] for r in plan.patterns.collect()}
+        assert got.keys() == want.keys() and all(want[p] - 4 < got[p] <= want[p] + 0.5 for p in got), (got, want)
+        assert mixing.mix(docs, share=share).count() * 4 >= sum(got.values())
+
+
+def test_more_sets_of_sources_than_patterns(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, rng.sample("abcdef", rng.randint(1, 4)), "w " * rng.randint(1, 9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source array<string>, text string")
+    whole = mixing.plan_mix(mixing.sized_table(df, 7, "source", "doc_id", "text"))
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 10)
+    sized = mixing.sized_table(df, 7, "source", "doc_id", "text")
+    plan = mixing.plan_mix(sized)
+    assert plan.patterns.count() <= 16 < whole.patterns.count()
+    got = plan.copies(sized)
+    assert got.count() == 400 and got.where("__pattern IS NULL OR __copies > 2").count() == 0
+    total = got.agg(F.sum(F.col("__copies") * F.col("__size"))).first()[0]
+    assert abs(total - sum(t for _, t in plan.sources.values())) < 60
+
+
 def test_mixing_odd_rows(spark, odd, nothing):
     assert mixing.mix(odd).columns == odd.columns and mixing.mix(nothing).count() == 0
     sized = mixing.sized_table(odd, 7, "source", "doc_id", "text")
