@@ -35,6 +35,21 @@ def test_order_is_random_within_and_across_buckets(spark):
     assert sum(a == b for a, b in zip(sorted(map(tuple, rows)), sorted(map(tuple, other)))) < 100
 
 
+def test_equal_rows_are_spread(spark, tmp_path):
+    """A third of all rows equal: they lie in all shards, and no bucket is much larger than others."""
+    rows = [(7, "the same text " * 10)] * 1000 + [(i, f"text {i} " * 20) for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for part_bytes in (1 << 30, 50_000):
+        got = shard_rows(docs, scratch(spark, "s"), shards=8, bucket_bytes=10_000, part_bytes=part_bytes).select("record.doc_id", "record.text", "shard", "slot").collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted(rows)
+        for s in range(8):
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(375))
+            assert 80 < sum(r.doc_id == 7 and r.text.startswith("the") for r in got if r.shard == s) < 175
+    again = shard_rows(docs.repartition(1), scratch(spark, "s"), shards=8, bucket_bytes=10_000).count()
+    assert again == 3000
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = shard_rows(odd, scratch(spark, "s"), shards=5).collect()
     assert len(rows) == odd.count() and rows[0].record.asDict().keys() == set(odd.columns)
