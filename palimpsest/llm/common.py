@@ -76,10 +76,6 @@ def crc32_text(c: Column) -> Column:
     return F.crc32(F.coalesce(c, F.lit("")).cast("binary"))
 
 
-def same_order(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*[df[f"`{c}`"] for c in like.columns])
-
-
 def fs_of(path: str):
     """pyarrow's file system and the path in it; usable on executors."""
     from pyarrow import fs
@@ -122,10 +118,29 @@ SPACE_BYTES = np.zeros(256, bool)
 SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Bytes that are hashed at once; longer texts are taken in pieces that end at white space.
+HASH_BYTES = 8 << 20
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of the bytes, and where each begins."""
     if not len(data):
         return np.empty(0, U64), np.empty(0, np.int64)
+    if len(data) > 2 * HASH_BYTES:
+        parts, a = [], 0
+        while a < len(data):
+            b = min(a + HASH_BYTES, len(data))
+            while b < len(data) and not (space := SPACE_BYTES[data[b : b + 4096]]).any():
+                b += 4096
+            b = min(b + (int(space.argmax()) if b < len(data) else 0), len(data))
+            hashes, begin = _word_hashes(data[a:b])
+            parts.append((hashes, begin + a))
+            a = b
+        return np.concatenate([h for h, _ in parts]), np.concatenate([b for _, b in parts])
+    return _word_hashes(data)
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = SPACE_BYTES[data]
     edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1, append=1))
     begin, end = edge[::2], edge[1::2]
@@ -135,17 +150,11 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return mix(h + (end - begin).astype(U64)), begin
 
 
-def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """A hash of every k consecutive words; of all of them if they are fewer than k, and none for none."""
-    n = len(words)
-    if not n:
-        return words
-    k = min(k, n)
-    with np.errstate(over="ignore"):
-        h = np.zeros(n - k + 1, U64)
-        for j in range(k):
-            h = mix(h * U64(0x9E3779B97F4A7C15 | 1) + words[j : n - k + 1 + j])
-        return h
+def bytes_of(column) -> list[bytes]:
+    """The values of a text column of Arrow, without decoding them; none for null."""
+    import pyarrow as pa
+
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
 def pieces(batches: Iterable, text: str, most: int = 1 << 20, inside: str | None = None):

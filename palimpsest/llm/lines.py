@@ -16,8 +16,11 @@ a near one too.
    the number of tasks.
 4. Each decision's pair of lines is verified by its words.
 
-Rows that agree in id and text count as one document and get the same result. Null ids come first. A null text has no lines
-and stays null. Columns of the input that are named like the operator's own don't clash, as they stay in one struct.
+Rows that agree in id and text count as one document and get the same result; rows of one id and different texts come in the
+order of a hash of them. So no two lines tie. Null ids come first. A null text has no lines and stays null; an empty one has
+one, which stays. A text is hashed whole, whatever its length: a task holds about fifteen bytes for each of the longest one's.
+An empty table gives an empty result. Columns of the input that are named like the operator's own don't clash, as they stay in
+one struct.
 """
 
 from __future__ import annotations
@@ -27,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BASE, INVERSE, U64, crc32_text, dropped, freed, mix, pieces, powers, word_hashes, written
+from .common import BASE, INVERSE, U64, WORD, bytes_of, crc32_text, dropped, freed, mix, pieces, powers, word_hashes, written
 
 MIN_WORDS, NEAR_WORDS = 5, 8
 #: What op10 and the pipeline take.
 WHOLE = {"min_words": 1, "near_words": 5}
+#: The share of its words that a document must keep: with less, it agrees with earlier ones as near-duplicates do.
+LEAST_LEFT = 0.2
 BASE_2 = 0x9FB21C651E98DF25
 INVERSE_2 = pow(BASE_2, -1, 1 << 64)
 LENGTH = U64(0xA24BAED4963EE407)
@@ -80,7 +85,7 @@ def _all_lines(rows: DataFrame, min_words: int, near_words: int) -> DataFrame:
         import pyarrow as pa
 
         for part in pieces(batches, "text"):
-            x = Lines([t.encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()])
+            x = Lines(bytes_of(part.column(2)))
             n = x.end - x.begin
             k = np.flatnonzero(n >= min_words)
             a, b, n = x.begin[k], x.end[k], n[k]
@@ -106,7 +111,7 @@ def _variants(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for part in pieces(batches, "text"):
-            x = Lines([t.encode("utf-8", "surrogatepass") for t in part.column(2).to_pylist()])
+            x = Lines(bytes_of(part.column(2)))
             lists = part.column(3)
             near = lists.flatten()
             doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -243,6 +248,61 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def alone(text: bytes, min_words: int, near_words: int) -> int:
+    """The words that a text keeps if it is the only document, by hashes of its lines and their variants."""
+    x = Lines([text])
+    n = x.end - x.begin
+    k = np.flatnonzero(n >= min_words)
+    a, b, n = x.begin[k], x.end[k], n[k]
+    line = np.arange(len(k))
+    near = np.flatnonzero(n >= near_words)
+    of = np.repeat(near, n[near])
+    place = np.arange(len(of)) - np.repeat(np.cumsum(n[near]) - n[near], n[near])
+    i = a[of] + place
+    with np.errstate(over="ignore"):
+        less = x.run(a[of], i) + powers(BASE, int(n.max(initial=0)) + 1)[place] * x.run(i + 1, b[of])
+    whole, less = x.keyed(x.run(a, b), n, 2), x.keyed(less, n[of] - 1, 2)
+    place, at = np.concatenate([np.full(len(k), -1), place]), np.concatenate([line, of])
+    value, key = np.unique(np.concatenate([whole, less]), return_inverse=True)
+    gone = np.zeros(len(k), bool)
+    # Equal lines, and lines that differ in the word at one place: all but the first of each group.
+    order = np.lexsort((at, place, key))
+    later = (key[order][1:] == key[order][:-1]) & (place[order][1:] == place[order][:-1])
+    gone[at[order][1:][later]] = True
+    # Lines that another's variant equals, of lines that take part in both.
+    first = np.full((2, len(value)), len(k))
+    longs, shorts = np.arange(len(k), len(key)), near
+    np.minimum.at(first[0], key[shorts], shorts)
+    np.minimum.at(first[1], key[longs], at[longs])
+    gone[at[longs][first[0][key[longs]] < at[longs]]] = True
+    gone[shorts[first[1][key[shorts]] < shorts]] = True
+    return int((x.end - x.begin)[np.setdiff1d(np.arange(len(x.end)), k)].sum() + n[~gone].sum())
+
+
+def drop_repeats(docs: DataFrame, least_left: float = LEAST_LEFT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with the repeated lines gone from their texts (WHOLE), in the same columns.
+
+    A document that keeps less than least_left of the words that it would keep alone goes altogether: it is a copy of what
+    came earlier, and its remains would no longer be known as one. Lines that repeat within it alone don't count for that.
+    Documents without a word stay.
+    """
+    rows = dedup_lines(docs, id_col, text_col, **WHOLE)
+    words = lambda t: F.coalesce(F.regexp_count(t, F.lit(WORD)), F.lit(0))
+    old = F.col("record").getField(text_col)
+    rows = rows.select("record", "text", words(F.col("text")).cast("long").alias("left"), F.when((F.col("n_removed") > 0) & (words(F.col("text")) < least_left * words(old)), old).alias("old"))
+
+    def judge(batches):
+        import pyarrow as pa
+
+        for part in pieces(batches, "old"):
+            texts, left = part.column(3), part.column(2).to_pylist()
+            stay = [not known or n >= least_left * alone(t, **WHOLE) for known, t, n in zip(texts.is_valid().to_pylist(), bytes_of(texts), left, strict=True)]
+            yield part.filter(pa.array(stay, pa.bool_())).select(["record", "text"])
+
+    kept = rows.mapInArrow(judge, f"record {docs.schema.simpleString()}, text string")
+    return kept.select(*[(F.col("text") if c == text_col else F.col("record").getField(c)).alias(c) for c in docs.columns])
+
+
 def _lists(df: DataFrame, name: str) -> DataFrame:
     """The line numbers of each row."""
     return df.groupBy("row", "id").agg(F.collect_set(F.col("line").cast("int")).alias(name))

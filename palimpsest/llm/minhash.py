@@ -11,8 +11,10 @@ first compared to its head, the member that shares its buckets with the most oth
 they stem from. Counts and heads are aggregations, and a bucket of any size is joined to its head by a join that Spark can
 split. The links are joined to components. All nodes that were compared to one head make a cluster; where a cluster still
 has several components, members of different ones are compared, in blocks of at most BLOCK by BLOCK, by a product of
-incidence matrices, and only links that join components leave a block. So no link is lost between nodes that share a
-bucket, but for those that wouldn't change a component, and pairs are never rows.
+incidence matrices, and only links that join components leave a block. The members of a cluster's largest component aren't
+compared with each other, so a large group with a few strays costs a copy of each member for BLOCK strays, not for BLOCK
+members. So no link is lost between nodes that share a bucket, but for those that wouldn't change a component, and pairs are
+never rows.
 
 Pairs are dropped early if their signatures agree in less than SIGNATURE_SHARE of the registers (for similar pairs that is
 over 7 standard deviations off), and verified by the exact Jaccard similarity of their shingles' 64-bit hashes.
@@ -20,7 +22,10 @@ With 40 bands of 6 registers, a pair of similarity 0.8 shares no bucket with a p
 counts of the shingles in both.
 
 A document of fewer words than SHINGLE has one shingle of them all. Documents without words (null, empty) are alone in
-their classes. Rows that agree in id and text are one document. The class is named by its smallest id; null ids come first.
+their classes. Rows that agree in id and text are one document; of rows of one id and different texts, the one of the smaller
+hash counts as the earlier. The class is named by its smallest id; null ids come first. Heads of equal company tie by a hash.
+A text's shingles are taken whole, whatever its length: a task holds about fifteen bytes for each of the longest one's, and
+the set of its shingles for a comparison. An empty table has no classes. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, dropped, freed, mix, pieces, written
+from .common import U64, bytes_of, dropped, freed, mix, pieces, written
 from .components import components
 from .lines import Lines
 
@@ -39,6 +44,8 @@ SIGNATURE_SHARE = 0.55
 SLICE_BYTES = 1 << 20
 #: Arrivals that are drawn at once, at most, once fewer shingles than that are left.
 ARRIVALS = 1 << 18
+#: Shingles that arrive together.
+MOST_SHINGLES = 1 << 20
 #: Nodes of a block, and shingles of a matrix product, when a cluster's components are compared.
 BLOCK, COLUMNS = 512, 2048
 
@@ -64,6 +71,13 @@ def prob_min_hash(text: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, m:
     """For each text, m registers with the hash of the shingle that came first; 0 for a text without shingles."""
     first = np.full(texts * m, np.inf)
     registers = np.zeros(texts * m, U64)
+    # A long text's shingles go by turns: later ones meet registers that are taken, and mostly end at once.
+    for begin in range(0, len(h), MOST_SHINGLES):
+        _arrive(first, registers, text[begin : begin + MOST_SHINGLES], h[begin : begin + MOST_SHINGLES], w[begin : begin + MOST_SHINGLES], texts, m)
+    return registers.reshape(texts, m)
+
+
+def _arrive(first: np.ndarray, registers: np.ndarray, text: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, m: int) -> None:
     left, when, done = np.arange(len(h)), np.zeros(len(h)), 0
     with np.errstate(over="ignore"):
         seed = mix(h)
@@ -83,7 +97,6 @@ def prob_min_hash(text: np.ndarray, h: np.ndarray, w: np.ndarray, texts: int, m:
             done += steps
             go_on = np.flatnonzero(times[:, -1] < first.reshape(texts, m).max(1)[text[left]])
             left, when = left[go_on], times[go_on, -1]
-    return registers.reshape(texts, m)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -98,7 +111,7 @@ def _signed(rows: DataFrame, bands: int, size: int) -> DataFrame:
         import pyarrow as pa
 
         for part in pieces(batches, "text", SLICE_BYTES):
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in part.column(4).to_pylist()]
+            texts = bytes_of(part.column(4))
             text, h, _ = shingles(texts)
             registers = prob_min_hash(text, h, np.ones(len(h)), len(texts), bands * size)
             empty = np.bincount(text, minlength=len(texts)) == 0
@@ -156,7 +169,7 @@ def _sets(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for part in pieces(batches, "text", SLICE_BYTES):
-            text, h, _ = shingles([t.encode("utf-8", "surrogatepass") for t in part.column(1).to_pylist()])
+            text, h, _ = shingles(bytes_of(part.column(1)))
             cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["node", "set"])
 
@@ -201,12 +214,19 @@ def _forest(nodes: list[int], component: list[int], sets: list[np.ndarray], leas
 
 
 def _within(clusters: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """clusters: head, node, component, n (nodes of the cluster). Links between the components of each cluster."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    """clusters: head, node, component, large (whether that is the cluster's largest), n_large and n_rest (nodes in it, and in
+    the others). Links between the components of each cluster."""
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    # Blocks of the largest component have negative numbers; these meet the others' blocks only.
+    mine = F.when(F.col("large"), -1 - block("n_large")).otherwise(block("n_rest"))
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    rest = F.sequence(F.lit(0), blocks("n_rest") - 1)
+    with_rest = F.transform(rest, lambda x: pair(F.least(F.col("mine"), x), F.greatest(F.col("mine"), x)))
+    with_large = F.transform(F.sequence(F.lit(1), blocks("n_large")), lambda x: pair(-x, F.col("mine")))
     # A copy of each member for each block that its own meets.
-    rows = clusters.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("head", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component").join(sets, "node")
+    rows = clusters.withColumn("mine", mine).withColumn("meet", F.explode(F.when(F.col("large"), with_rest).otherwise(F.concat(with_rest, with_large))))
+    rows = rows.select("head", "meet.i", "meet.j", "mine", "node", "component").join(sets, "node")
     parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "head", "i", "j").sortWithinPartitions("head", "i", "j", "mine", "node").select("head", "i", "j", "mine", "node", "component", "set")
 
@@ -273,8 +293,10 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS,
 
     # Clusters of three nodes or more that still hold several components.
     placed = clusters.join(found, "node", "left").select("head", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("head").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high AND n > 2").select("head", "n")
-    more = written(_within(placed.join(mixed, "head"), sets, least), "links")
+    parts = placed.groupBy("head", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("head").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1 AND all > 2")
+    mixed = mixed.select("head", F.col("most.component").alias("largest"), F.col("most.n").alias("n_large"), (F.col("all") - F.col("most.n")).alias("n_rest"))
+    more = written(_within(placed.join(mixed, "head").withColumn("large", F.col("component") == F.col("largest")), sets, least), "links")
     dropped(sets)
     freed(spark)
     if not more.isEmpty():

@@ -4,7 +4,7 @@ Words are runs of anything but ASCII white space, so line breaks within a passag
 PASSAGE_WORDS words are named by their anchor's surroundings, as byte strings are in suffixes.py; the windows of runs that
 share a name with others are then counted by two independent 64-bit hashes.
 
-A text beyond SEGMENT_BYTES is hashed piece by piece, and its words are taken in segments that overlap by a window.
+The words of a text beyond SEGMENT_BYTES are taken in segments that overlap by a window.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .common import BASE, SPACES, U64, mix, powers, word_hashes
+from .common import BASE, U64, mix, powers, word_hashes
 from .lines import BASE_2, INVERSE_2
 from .windows import INVERSE, hash_of, window_runs
 
@@ -40,18 +40,6 @@ def _sums(words: np.ndarray, base: int) -> np.ndarray:
         return np.concatenate([np.zeros(1, U64), np.cumsum(words * powers(base, len(words)))])
 
 
-def _long_words(text: bytes) -> np.ndarray:
-    """The words' hashes of a long text; pieces end at white space."""
-    spaces, parts, a = SPACES.encode(), [], 0
-    while a < len(text):
-        b = min(a + SEGMENT_BYTES, len(text))
-        while b < len(text) and text[b] not in spaces:
-            b += 1
-        parts.append(word_hashes(np.frombuffer(text[a:b], np.uint8))[0])
-        a = b
-    return np.concatenate(parts)
-
-
 def _lots(texts: list[bytes]):
     """(texts' numbers, their first words' places, where each begins in the words, the words)."""
     short = [i for i, t in enumerate(texts) if len(t) <= SEGMENT_BYTES]
@@ -62,7 +50,7 @@ def _lots(texts: list[bytes]):
         yield np.array(short), np.zeros(len(short), np.int64), base, words
     for i, t in enumerate(texts):
         if len(t) > SEGMENT_BYTES:
-            words = _long_words(t)
+            words, _ = word_hashes(np.frombuffer(t, np.uint8))
             for a in range(0, max(1, len(words) - PASSAGE_WORDS + 1), SEGMENT_WORDS):
                 part = words[a : a + SEGMENT_WORDS + PASSAGE_WORDS - 1]
                 yield np.array([i]), np.array([a]), np.array([0, len(part)]), part

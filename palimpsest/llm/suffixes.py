@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, INVERSE, U64, dropped, freed, mix, pieces, written
+from .common import BASE, INVERSE, U64, bytes_of, dropped, freed, mix, pieces, written
 from .lines import BASE_2, INVERSE_2
 from .passages import PASSAGE_WORDS, word_runs, word_windows
 from .windows import hash_of, sums_of, window_runs
@@ -171,12 +171,6 @@ def repeated(blocks: list[bytes], groups: np.ndarray) -> list[np.ndarray]:
     return [out[a : max(a, b - LENGTH + 1)] for a, b in zip(begin, begin[1:], strict=False)]
 
 
-def _bytes(part, k: int) -> list[bytes]:
-    import pyarrow as pa
-
-    return [t or b"" for t in part.column(k).cast(pa.binary()).to_pylist()]
-
-
 def _segments(texts: list[bytes], overlap: int = LENGTH - 1):
     """(texts' numbers, places, bytes) in lots: all texts of up to SEGMENT_BYTES in one, longer ones segment by segment."""
     short = [i for i, t in enumerate(texts) if len(t) <= SEGMENT_BYTES]
@@ -202,7 +196,7 @@ def _runs(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for part in pieces(batches, "text", SLICE_BYTES):
-            for text, key, place, words in lots(_bytes(part, 2)):
+            for text, key, place, words in lots(bytes_of(part.column(2))):
                 order = np.lexsort((place, key, text))
                 text, key, place = text[order], key[order], place[order]
                 first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])) if len(key) else np.empty(0, np.int64)
@@ -225,7 +219,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for part, (text_of, begin, texts) in ((part, lot) for part in pieces(batches, "text", SLICE_BYTES) for lot in _segments(_bytes(part, 2))):
+        for part, (text_of, begin, texts) in ((part, lot) for part in pieces(batches, "text", SLICE_BYTES) for lot in _segments(bytes_of(part.column(2)))):
             x = Runs(texts)
             if not len(x.key):
                 continue
@@ -352,7 +346,7 @@ def _repeated_words(rows: DataFrame) -> DataFrame:
             asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
             asked = asked[wanted.field("words").to_numpy(zero_copy_only=False)]
             if len(asked):
-                for text, place, h1, h2 in word_windows(_bytes(part, 2), asked):
+                for text, place, h1, h2 in word_windows(bytes_of(part.column(2)), asked):
                     t = pa.array(text)
                     yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), part.column(0).take(t), part.column(1).take(t), pa.array(place)], ["h1", "h2", "id", "row", "place"])
 
@@ -381,7 +375,7 @@ def _cut(rows: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for part in pieces(batches, "text"):
             out = []
-            for text, many, spans, passages in zip(_bytes(part, 1), *[part.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
+            for text, many, spans, passages in zip(bytes_of(part.column(1)), *[part.column(k).to_pylist() for k in (2, 3, 4)], strict=True):
                 merged = [[0, len(text)]] if many and len(text) >= LENGTH else _merged(spans)
                 left, at = hashlib.sha256(), 0
                 for b, e in merged:

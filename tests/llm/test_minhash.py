@@ -54,6 +54,28 @@ def test_documents_against_brute_force(spark, medium):
     assert len(set(want.values())) < len(want)
 
 
+def test_a_cluster_copies_its_members_for_the_strays_only(spark, monkeypatch):
+    """64 members in one component and 4 strays, in blocks of 8: the members meet the strays' block, not each other's."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    sets = {n: np.arange(100) + (n if n < 64 else 1000 * n) for n in range(68)}
+    sets[67] = np.arange(100) + 63 + 6  # near to some members
+    rows = spark.createDataFrame([(0, n, 0 if n < 64 else n, n < 64, 64, 4) for n in sets], "head long, node long, component long, large boolean, n_large long, n_rest long")
+    binary = spark.createDataFrame([(n, bytearray(x.astype("<i8").tobytes())) for n, x in sets.items()], "node long, set binary")
+    links = minhash._within(rows, binary, 0.8).collect()
+    assert {r.b for r in links} == {67} and all(r.a < 64 for r in links) and 1 <= len(links) <= 8
+    plan = minhash._within(rows, binary, 0.8)._jdf.queryExecution().analyzed().toString()
+    assert "explode" in plan
+
+
+def test_signatures_of_many_shingles_by_turns(monkeypatch):
+    rng = np.random.default_rng(4)
+    h = rng.integers(1, 1 << 62, 3000).astype(np.uint64)
+    text = np.sort(rng.integers(0, 5, 3000))
+    whole = prob_min_hash(text, h, np.ones(3000), 5, 64)
+    monkeypatch.setattr(minhash, "MOST_SHINGLES", 100)
+    assert (prob_min_hash(text, h, np.ones(3000), 5, 64) == whole).all()
+
+
 @pytest.mark.parametrize("block", [512, 16])
 def test_a_group_around_a_hub(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)

@@ -303,13 +303,38 @@ def test_pipeline_stages(spark, small):
         if name == "near-dedup":
             assert docs.select("doc_id").distinct().count() == docs.count() <= before.count()
         if name == "line dedup":
-            assert docs.count() == before.count() and docs.where("n_chars <> length(text)").count() == 0
+            assert 0.9 * before.count() < docs.count() <= before.count() and docs.where("n_chars <> length(text)").count() == 0
     assert counts[1] == counts[0], "clean documents stay"
     last = corpus_pipeline.STAGES[-1][1](spark, docs, small).collect()
     assert len(last) == counts[-1] and all(r.parity for r in last)
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, small).collect()) == sorted(r.doc_id for r in last)
 
 
+def test_copies_are_gone_after_both_dedup_stages(spark, tmp_path):
+    """Planted exact and near copies, line by line and with changed words: 0.9 at least go, and all clean documents stay."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    text = lambda: [[rng.choice(vocabulary) for _ in range(rng.randint(8, 14))] for _ in range(rng.randint(8, 20))]
+    clean = [text() for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(clean)]
+    for k in range(150):
+        t = [list(line) for line in clean[k % 100]]
+        if k >= 40:
+            for _ in range(rng.randint(1, max(1, sum(map(len, t)) // 60))):
+                line = rng.choice(t)
+                line[rng.randrange(len(line))] = rng.choice(vocabulary)
+        rows.append((1000 + k, t))
+    docs = spark.createDataFrame([(i, "\n".join(map(" ".join, t)), "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    from palimpsest.llm.common import written
+
+    left = docs
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        left = written(stage(spark, left, str(tmp_path)), "stage")
+    ids = {r.doc_id for r in left.select("doc_id").collect()}
+    assert ids >= set(range(150)) and sum(i < 1000 for i in ids) == 150
+    assert sum(i >= 1000 for i in ids) <= 15
+
+
 def test_pipeline_on_odd_rows(spark, odd, nothing, tmp_path):
     for name, rows in (("odd", odd), ("nothing", nothing)):
         rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
