@@ -1,8 +1,13 @@
 """A training corpus from raw documents: five stages, each written as Parquet and read again by the next.
 
 Every stage but the last returns the columns of `documents`; its decisions take effect on what the stage before has kept:
-documents without a known language go, later copies of lines go from the texts, one document of each near-duplicate class
-stays, the mix repeats or leaves out documents, and the last stage encodes what is left.
+documents without a known language go; later copies of lines go from the texts, and documents that lose more than four fifths
+of their words so; one document of each near-duplicate class stays; the mix repeats or leaves out documents; and the last
+stage encodes what is left.
+
+Null and empty texts have no language and go in the first stage. Texts of any length are taken whole. Ties and rows of one id
+are settled as each operator says; rows that agree in id and text are one document from near-dedup on. An empty table goes
+through all stages as one. Columns beside those of `documents` are carried along to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import written
 from palimpsest.llm.langid import fit, held_out, keep_identified
-from palimpsest.llm.lines import WHOLE, dedup_lines
+from palimpsest.llm.lines import drop_repeats
 from palimpsest.llm.minhash import drop_near
 from palimpsest.llm.mixing import mix
 from palimpsest.llm.pieces import encode_pieces
@@ -26,9 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = dedup_lines(docs, **WHOLE)
-    new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return rows.select(*[new[c].alias(c) if c in new else F.col("record").getField(c).alias(c) for c in docs.columns])
+    rows = drop_repeats(docs)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
