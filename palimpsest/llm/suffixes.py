@@ -404,7 +404,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     freed(docs.sparkSession)
     twice = runs.groupBy("key").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
     wanted = runs.join(twice, "key").select("row", "id", F.transform("places", lambda p: F.struct(p.alias("place"), F.col("hot").alias("hot"), F.col("words").alias("words"))).alias("places"))
-    asked = wanted.groupBy("row", "id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    # Rows that agree in id and text have the same lists, and as a set they count once.
+    asked = wanted.groupBy("row", "id").agg(F.flatten(F.collect_set("places")).alias("places"))
     asked = asked.join(heads, same(asked, heads), "left_semi")
     asked = written(asked, "asked")
     dropped(runs)
