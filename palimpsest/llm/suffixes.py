@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import BASE, INVERSE, U64, bytes_of, dropped, freed, mix, pieces, written
 from .lines import BASE_2, INVERSE_2
 from .passages import PASSAGE_WORDS, word_runs, word_windows
-from .windows import hash_of, sums_of, window_runs
+from .windows import Seen, hash_of, joined, sums_of, window_runs
 
 LENGTH, GRAM, COVER = 400, 48, 40
 UNIT_BYTES, SLICE_BYTES = 1 << 20, 1 << 20
@@ -260,25 +260,52 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _BLOCK)
 
 
+#: Of a window: its hashes and place. kind 0: it may be there once; 1: it is there twice, for other tasks to know; 2: not a
+#: window but a run of them that are there twice, from place to stop.
+_WINDOW = "h1 long, h2 long, id long, row long, place long, stop long, kind int"
+
+
+def _told(part, seen: Seen, length: int, text: np.ndarray, place: np.ndarray, h1: np.ndarray, h2: np.ndarray, twice: np.ndarray | None = None):
+    """The rows of _WINDOW for some windows; text: the number in `part`."""
+    import pyarrow as pa
+
+    decided, told = seen.decide(h1, h2, twice)
+    single = np.flatnonzero(~decided)
+    run, begin, end = joined(text[decided], place[decided], length)
+    pick = np.concatenate([single, told])
+    t = pa.array(np.concatenate([text[pick], run]))
+    none = np.zeros(len(run), np.int64)
+    kind = np.repeat(np.array([0, 1, 2], np.int32), [len(single), len(told), len(run)])
+    column = lambda c: part.column(part.schema.get_field_index(c)).take(t)
+    stop = np.concatenate([place[pick] + length, end])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([h1[pick], none])), pa.array(np.concatenate([h2[pick], none])), column("id"), column("row"), pa.array(np.concatenate([place[pick], begin])), pa.array(stop), pa.array(kind)], ["h1", "h2", "id", "row", "place", "stop", "kind"])
+
+
+def _there_twice(windows: DataFrame) -> DataFrame:
+    """windows: _WINDOW, a written table. id, row, begin, end of what is there twice."""
+    once = windows.where("kind < 2")
+    twice = once.groupBy("h1", "h2").agg(F.sum(F.col("kind") + 1).alias("n")).where("n > 1").select("h1", "h2")
+    found = windows.where("kind = 0").join(twice, ["h1", "h2"], "left_semi").unionByName(windows.where("kind = 2"))
+    return found.select("id", "row", F.col("place").alias("begin"), F.col("stop").alias("end"))
+
+
 def _windows(blocks: DataFrame) -> DataFrame:
-    """Two hashes of every window of the blocks' bytes, with its place; many: whether its block is there more than once."""
+    """All windows of the blocks' bytes, as _WINDOW; a block with `many` is there more than once."""
 
     def run(batches):
-        import pyarrow as pa
-
+        seen = Seen()
         for part in pieces(batches, "bytes", SLICE_BYTES):
-            blocks = part.column(part.schema.get_field_index("bytes")).to_pylist()
+            column = lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
+            blocks = column("bytes").to_pylist()
             size = np.array([len(b) for b in blocks], np.int64)
             data = np.frombuffer(b"".join(blocks), np.uint8)
             of = np.repeat(np.arange(len(blocks)), size - LENGTH + 1)
             inside = np.arange(len(of)) - np.repeat(np.cumsum(size - LENGTH + 1) - (size - LENGTH + 1), size - LENGTH + 1)
             at = (np.cumsum(size) - size)[of] + inside
             hashes = [hash_of(sums_of(data, base), inverse, at, at + LENGTH).view(np.int64) for base, inverse in ((BASE, INVERSE), (BASE_2, INVERSE_2))]
-            t, column = pa.array(of), lambda c: part.column(part.schema.get_field_index(c))  # noqa: B023, E731
-            place = column("place").to_numpy()[of] + inside
-            yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), column("id").take(t), column("row").take(t), pa.array(place), column("many").take(t)], ["h1", "h2", "id", "row", "place", "many"])
+            yield _told(part, seen, LENGTH, of, column("place").to_numpy()[of] + inside, *hashes, column("many").to_numpy(zero_copy_only=False)[of])
 
-    return blocks.select("id", "row", "place", "many", "bytes").mapInArrow(run, "h1 long, h2 long, id long, row long, place long, many boolean")
+    return blocks.select("id", "row", "place", "many", "bytes").mapInArrow(run, _WINDOW)
 
 
 def _intervals(blocks: DataFrame) -> DataFrame:
@@ -335,24 +362,20 @@ def _intervals(blocks: DataFrame) -> DataFrame:
 
 
 def _repeated_words(rows: DataFrame) -> DataFrame:
-    """rows: id, row, text, places. The windows of words in the runs that begin there, which stand elsewhere too."""
+    """rows: id, row, text, places. The windows of words in the runs that begin there, as _WINDOW."""
 
     def run(batches):
-        import pyarrow as pa
-
+        seen = Seen()
         for part in pieces(batches, "text", SLICE_BYTES):
             lists = part.column(3)
             wanted = lists.flatten()
             asked = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) << 32 | wanted.field("place").to_numpy()
             asked = asked[wanted.field("words").to_numpy(zero_copy_only=False)]
             if len(asked):
-                for text, place, h1, h2 in word_windows(bytes_of(part.column(2)), asked):
-                    t = pa.array(text)
-                    yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), part.column(0).take(t), part.column(1).take(t), pa.array(place)], ["h1", "h2", "id", "row", "place"])
+                for lot in word_windows(bytes_of(part.column(2)), asked):
+                    yield _told(part, seen, PASSAGE_WORDS, *lot)
 
-    windows = written(rows.mapInArrow(run, "h1 long, h2 long, id long, row long, place long"), "words")
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    return windows.join(twice, ["h1", "h2"], "left_semi").select("id", "row", F.col("place").alias("begin"), (F.col("place") + PASSAGE_WORDS).alias("end"))
+    return rows.mapInArrow(run, _WINDOW)
 
 
 def _merged(spans) -> list[list[int]]:
@@ -414,7 +437,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chosen = one.join(asked, same(one, asked)).groupBy(one["row"], one["id"]).agg(F.first("text").alias("text"), F.first("places").alias("places")).select("id", "row", "text", "places")
     chosen = written(chosen, "chosen")
     dropped(asked)
-    passages = _repeated_words(chosen)
+    passages = _there_twice(written(_repeated_words(chosen), "words"))
     blocks = written(_blocks(chosen), "blocks")
     dropped(chosen)
     freed(docs.sparkSession)
@@ -422,9 +445,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = blocks.where("bytes IS NOT NULL")
     crowded = written(sent.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"), "crowded")
     if not crowded.isEmpty():
-        windows = written(_windows(sent.join(crowded, "key", "left_semi")), "windows")
-        twice = windows.groupBy("h1", "h2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1").select("h1", "h2")
-        known = known.unionByName(windows.join(twice, ["h1", "h2"], "left_semi").select("id", "row", F.col("place").alias("begin"), (F.col("place") + LENGTH).alias("end")))
+        known = known.unionByName(_there_twice(written(_windows(sent.join(crowded, "key", "left_semi")), "windows")))
         sent = sent.join(crowded, "key", "left_anti")
     found = _intervals(sent.repartition("key").sortWithinPartitions("key", "hash", "bytes")).unionByName(known)
     both = found.withColumn("words", F.lit(False)).unionByName(passages.withColumn("words", F.lit(True)))

@@ -162,3 +162,22 @@ def test_odd_rows(spark, odd, nothing):
     whole = {r.doc_id: r for r in remove_repeats(odd).collect() if r.doc_id in (8, 9, 10)}
     assert whole[8].n_removed == whole[8].n_bytes > 10**6 and whole[10].n_removed == 50_000
     assert remove_repeats(nothing).count() == 0
+
+
+def test_windows_that_a_task_meets_twice(monkeypatch):
+    """Each window is told as single, or once as repeated; what is known stays known within the bound."""
+    monkeypatch.setattr(windows.Seen, "KEPT", 30)
+    rng, seen, told_of, single_of = np.random.default_rng(6), windows.Seen(), Counter(), Counter()
+    every = Counter()
+    for _ in range(20):
+        h1 = rng.integers(0, 60, 40)
+        h2 = h1 % 7
+        decided, told = seen.decide(h1, h2)
+        here = Counter(h1.tolist())
+        every += here
+        assert all(decided[k] for k in range(40) if here[h1[k]] > 1) and decided[told].all()
+        told_of += Counter(h1[told].tolist())
+        single_of += Counter(h1[~decided].tolist())
+    # Whoever sums kind + 1 finds all that are there twice.
+    assert all((2 * told_of[h] + single_of[h] > 1) == (n > 1) for h, n in every.items())
+    assert [x.tolist() for x in windows.joined(np.array([1, 0, 1, 1, 0]), np.array([5, 2, 6, 9, 3]), 10)] == [[0, 1, 1], [2, 5, 9], [13, 16, 19]]
