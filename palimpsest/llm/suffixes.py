@@ -19,8 +19,9 @@ first COVER bytes, and longer ties are resolved by the ranks of the suffixes at
 computed ahead by doubling: for any two suffixes there is a distance below COVER at which both are in the cover. Equal
 neighbours in that order are repeats; no pair of copies is ever formed.
 
-Beside the bytes that go, `n_passage_words` counts the words in passages of PASSAGE_WORDS words or more that start at another
-place too, whatever their length in bytes (see passages.py). They are a measure: only strings of LENGTH bytes go.
+Beside the bytes that go, `n_passage_words` counts, if asked for, the words in passages of PASSAGE_WORDS words or more that
+start at another place too, whatever their length in bytes (see passages.py). They are a measure: only strings of LENGTH bytes
+go.
 
 Documents of equal text are sorted once; they go altogether if they have LENGTH bytes. That texts, whole runs or windows of
 crowded buckets are equal is told by two independent 64-bit hashes, without comparing their bytes.
@@ -182,14 +183,14 @@ def _segments(texts: list[bytes], overlap: int = LENGTH - 1):
                 yield np.array([i]), np.array([a]), [t[a : a + SEGMENT_BYTES + overlap]]
 
 
-def _runs(rows: DataFrame) -> DataFrame:
-    """rows: id, row, text. The runs of all texts, of bytes and of words, without them; one row for each text and bucket."""
+def _runs(rows: DataFrame, passages: bool) -> DataFrame:
+    """rows: id, row, text. The runs of all texts, of bytes and, for passages, of words; one row for each text and bucket."""
 
     def lots(texts):
         for number, begin, some in _segments(texts):
             x = Runs(some)
             yield number[x.text], x.key, x.place + begin[x.text], False
-        for x in word_runs(texts):
+        for x in word_runs(texts) if passages else ():
             yield x.text, x.key, x.place, True
 
     def run(batches):
@@ -413,17 +414,19 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long, spans array<struct<begin: bigint, end: bigint>>")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words, spans (byte ranges that go) for each row of `docs`."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passages: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges that go) for each row of `docs`; with `passages`
+    n_passage_words too."""
     i, t = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"]
+    spark = docs.sparkSession
     base = docs.select(i.alias("id"), F.xxhash64(i, t).alias("row"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2"), t.alias("text"))
     same = lambda x, y: (x["row"] == y["row"]) & x["id"].eqNullSafe(y["id"])
     # A passage of words has a byte and a space for each at least.
-    long = base.where(f"octet_length(text) >= {min(LENGTH, 2 * PASSAGE_WORDS - 1)}")
+    long = base.where(f"octet_length(text) >= {min(LENGTH, 2 * PASSAGE_WORDS - 1) if passages else LENGTH}")
     # One row of each text takes part; equal texts go altogether.
     names = written(long.groupBy("t1", "t2").agg(F.min(F.struct("id", "row")).alias("head"), F.count("*").alias("n")), "texts")
     heads = names.select("head.id", "head.row")
-    runs = written(_runs(long.select("id", "row", "text")), "runs")
+    runs = written(_runs(long.select("id", "row", "text"), passages), "runs")
     freed(docs.sparkSession)
     twice = runs.groupBy("key").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
     wanted = runs.join(twice, "key").select("row", "id", F.transform("places", lambda p: F.struct(p.alias("place"), F.col("hot").alias("hot"), F.col("words").alias("words"))).alias("places"))
@@ -435,11 +438,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     freed(docs.sparkSession)
     one = long.select("id", "row", "text")
     chosen = one.join(asked, same(one, asked)).groupBy(one["row"], one["id"]).agg(F.first("text").alias("text"), F.first("places").alias("places")).select("id", "row", "text", "places")
-    chosen = written(chosen, "chosen")
-    dropped(asked)
-    passages = _there_twice(written(_repeated_words(chosen), "words"))
+    none = spark.createDataFrame([], "id long, row long, begin long, end long")
+    if passages:
+        # Read twice.
+        chosen = written(chosen, "chosen")
+    words = _there_twice(written(_repeated_words(chosen), "words")) if passages else none
     blocks = written(_blocks(chosen), "blocks")
-    dropped(chosen)
+    dropped(asked)
     freed(docs.sparkSession)
     known = blocks.where("bytes IS NULL").select("id", "row", F.col("place").alias("begin"), (F.col("place") + F.col("hash")).alias("end"))
     sent = blocks.where("bytes IS NOT NULL")
@@ -448,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         known = known.unionByName(_there_twice(written(_windows(sent.join(crowded, "key", "left_semi")), "windows")))
         sent = sent.join(crowded, "key", "left_anti")
     found = _intervals(sent.repartition("key").sortWithinPartitions("key", "hash", "bytes")).unionByName(known)
-    both = found.withColumn("words", F.lit(False)).unionByName(passages.withColumn("words", F.lit(True)))
+    both = found.withColumn("words", F.lit(False)).unionByName(words.withColumn("words", F.lit(True)))
     pair = F.struct("begin", "end")
     spans = both.groupBy("row", "id").agg(F.collect_list(F.when(~F.col("words"), pair)).alias("spans"), F.collect_list(F.when(F.col("words"), pair)).alias("passages"))
     spans = written(spans, "spans")
@@ -459,7 +464,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = base.select("id", "row", "t1", "t2", "text")
     verdict = long.select("id", "row", "t1", "t2").join(copies, (F.col("t1") == F.col("x1")) & (F.col("t2") == F.col("x2")), "left_semi").select("id", "row").distinct().withColumn("many", F.lit(True))
     both = spans.join(verdict, same(spans, verdict), "full").select(F.coalesce(spans["row"], verdict["row"]).alias("row"), F.coalesce(spans["id"], verdict["id"]).alias("id"), F.coalesce("many", F.lit(False)).alias("many"), "spans", "passages")
-    return _cut(rows.join(both, same(rows, both), "left").select(rows["id"], "text", F.coalesce("many", F.lit(False)).alias("many"), "spans", "passages"))
+    return _cut(rows.join(both, same(rows, both), "left").select(rows["id"], "text", F.coalesce("many", F.lit(False)).alias("many"), "spans", "passages")).drop(*[] if passages else ["n_passage_words"])
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

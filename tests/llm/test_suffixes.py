@@ -131,9 +131,10 @@ def test_passages_of_words_against_brute_force(spark, medium):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = brute_words(rows)
     found = lambda df: sorted((r.doc_id, r.n_passage_words) for r in df.collect())
-    assert found(remove_repeats(df)) == want and sum(n > 0 for _, n in want) > 20
+    assert found(remove_repeats(df, passages=True)) == want and sum(n > 0 for _, n in want) > 20
     docs = [tuple(r) for r in spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").collect()]
-    assert found(op3_suffix_dedup(spark, medium)) == brute_words(docs)
+    df = spark.read.parquet(f"{medium}/documents.parquet")
+    assert found(remove_repeats(df, passages=True)) == brute_words(docs)
 
 
 def test_difference_cover_covers():
