@@ -18,6 +18,9 @@ FROM, TO, LOAD, ACTION, SOURCE = "__from", "__to", "__load", "__action", "__sour
 LAKE = (FROM, TO, LOAD, ACTION, SOURCE)
 PUBLISHED = (FROM, LOAD, ACTION, SOURCE)
 
+#: What a batch did to a row (I, U or D; null for none), and the part of a history that holds its open rows.
+WHAT, OPEN_PART = "__what", "open"
+
 OPEN, EPOCH = datetime(9999, 12, 31), datetime(1900, 1, 1)
 TICKS = 10_000_000
 _UNIX = datetime(1970, 1, 1)
@@ -61,6 +64,8 @@ class ChangeSet:
     inserts: DataFrame
     closes: DataFrame | None = None
     tombstones: DataFrame | None = None
+    #: The result with what was done to each row in WHAT, so that a writer counts what it has written.
+    tagged: DataFrame | None = None
 
     def counts(self) -> dict[str, int]:
         """Rows inserted, updated (closed) and deleted; one job for each part."""

@@ -48,10 +48,14 @@ def scn_ranges(mapping: DataFrame) -> DataFrame:
 def scn_map(log: DataFrame, ranges: DataFrame, width: int = 1 << 16, zone: str = ZONE) -> DataFrame:
     """M2: log rows (lsn) in the SCN ranges that hold them: scn, scn_dt, min_scn, max_scn, __from.
 
-    The range join is an equality join on blocks of `width` numbers, into which ranges are cut; no nested loop.
+    The range join is an equality join on blocks of `width` numbers, into which ranges are cut; no nested loop. Ranges are cut
+    as far as the log reaches only, so that a last range may be open.
     """
     scn = prefix_bytes(F.col("lsn")) if dict(log.dtypes)["lsn"] == "binary" else F.col("lsn")
-    cut = scn_ranges(ranges).withColumn("__block", F.explode(F.sequence(F.floor(F.col("min_scn") / width), F.floor(F.col("max_scn") / width))))
+    reach = log.select(scn.alias("scn")).agg(F.min("scn").alias("__low"), F.max("scn").alias("__high"))
+    inside = scn_ranges(ranges).crossJoin(F.broadcast(reach)).withColumn("__a", F.greatest("min_scn", "__low")).withColumn("__b", F.least("max_scn", "__high"))
+    blocks = F.sequence(F.floor(F.col("__a") / width), F.floor(F.col("__b") / width))
+    cut = inside.where("__a <= __b AND __low IS NOT NULL").withColumn("__block", F.explode(blocks)).drop("__a", "__b", "__low", "__high")
     points = log.withColumn("scn", scn).withColumn("__block", F.floor(F.col("scn") / width))
     joined = points.join(cut, "__block").where(F.col("scn").between(F.col("min_scn"), F.col("max_scn"))).drop("__block")
     return joined.withColumn(FROM, utc_ticks(F.col("scn_dt"), zone) + (F.col("scn") - F.col("min_scn") + 1))

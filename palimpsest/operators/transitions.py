@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..model import ACTION, EPOCH, FROM, LOAD, OPEN, SOURCE, TO, ChangeSet, business, equal, moment, open_of
+from ..model import ACTION, EPOCH, FROM, LOAD, OPEN, SOURCE, TO, WHAT, ChangeSet, business, equal, moment, open_of
 from .rowdiff import row_diff
 
 
@@ -18,14 +18,17 @@ def _like(rows: DataFrame, target: DataFrame) -> DataFrame:
     return rows.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
-def _plus(target: DataFrame, *parts: DataFrame) -> DataFrame:
-    for p in parts:
-        target = target.unionByName(_like(p, target))
-    return target
+def _tagged(rows: DataFrame, *parts: tuple[DataFrame, Column | str], closes: DataFrame | None = None, inserts: DataFrame, tombstones: DataFrame | None = None) -> ChangeSet:
+    """rows (with WHAT, or null there) and the parts with what they are, as one change set."""
+    if WHAT not in rows.columns:
+        rows = rows.withColumn(WHAT, F.lit(None).cast("string"))
+    for part, what in parts:
+        rows = rows.unionByName(_like(part.withColumn(WHAT, what if isinstance(what, Column) else F.lit(what)), rows))
+    return ChangeSet(rows.drop(WHAT), inserts, closes, tombstones, rows)
 
 
 def _closed(target: DataFrame, ends: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The target with its open rows ended where `ends` (keys, __end) has their key, and these rows alone.
+    """The target with its open rows ended where `ends` (keys, __end) has their key, which WHAT says, and these rows alone.
 
     One left join; `ends` is the small side, and its runtime size decides whether it is broadcast.
     """
@@ -35,7 +38,7 @@ def _closed(target: DataFrame, ends: DataFrame, keys: list[str]) -> tuple[DataFr
     for k in keys:
         on = on & (target[f"`{k}`"] == ends[f"`__key_{k}`"])
     new = lambda end: [end.alias(c) if c == TO else target[f"`{c}`"] for c in target.columns]
-    return target.join(ends, on, "left").select(*new(F.coalesce(ends["__end"], target[TO]))), target.join(ends, on).select(*new(ends["__end"]))
+    return target.join(ends, on, "left").select(*new(F.coalesce(ends["__end"], target[TO])), F.when(ends["__end"].isNotNull(), "U").alias(WHAT)), target.join(ends, on).select(*new(ends["__end"]))
 
 
 def baseline_load(target: DataFrame, source: DataFrame, load: datetime | Column, source_id: int = 0, dedupe: bool = False) -> ChangeSet:
@@ -50,7 +53,7 @@ def baseline_load(target: DataFrame, source: DataFrame, load: datetime | Column,
     added = row_diff(old, new.select(SOURCE, *columns), [SOURCE, *columns]).where("n_new > 0")
     kind = target.schema[TO].dataType
     inserts = _like(added.withColumn(FROM, moment(EPOCH, kind)).withColumn(TO, moment(OPEN, kind)).withColumn(LOAD, moment(load, kind)).withColumn(ACTION, F.lit("X")), target)
-    return ChangeSet(_plus(target, inserts), inserts)
+    return _tagged(target, (inserts, "I"), inserts=inserts)
 
 
 def baseline_first(target: DataFrame, source: DataFrame, start: datetime | Column, load: datetime | Column) -> ChangeSet:
@@ -105,7 +108,7 @@ def cdc_history(target: DataFrame, log: DataFrame, times: DataFrame, keys: list[
     ends = changes.groupBy(*keys, SOURCE).agg(F.min(FROM).alias("__end"))
     result, closes = _closed(target, ends, [*keys, SOURCE])
     inserts, tombstones = changes.where(F.col(ACTION) != "D"), changes.where(F.col(ACTION) == "D")
-    return ChangeSet(_plus(result, changes), inserts, closes, tombstones)
+    return _tagged(result, (changes, F.when(F.col(ACTION) == "D", "D").otherwise("I")), inserts=inserts, closes=closes, tombstones=tombstones)
 
 
 #: Actions in order, as numbers: these aggregate by hash, strings only by sorting.
@@ -160,7 +163,7 @@ def snapshot_apply(target: DataFrame, source: DataFrame, keys: list[str], at: da
     result, closes = _closed(target, ends, [*keys, SOURCE])
     inserts, tombstones = stamped.where("side_new IS NOT NULL"), stamped.where(f"side_new IS NULL AND {ACTION} = 'D'")
     inserts, tombstones = _like(inserts, target), _like(tombstones, target)
-    return ChangeSet(_plus(result, inserts, tombstones), inserts, closes, tombstones)
+    return _tagged(result, (inserts, "I"), (tombstones, "D"), inserts=inserts, closes=closes, tombstones=tombstones)
 
 
 def legacy_convert(source: DataFrame, keys: list[str], zone: str = "Europe/London") -> ChangeSet:
@@ -191,7 +194,7 @@ def propagate_history(target: DataFrame, changes: DataFrame, keys: list[str], be
     result, closes = _closed(target, ended, [*keys, SOURCE, FROM])
     clipped = F.when(F.col(TO) > moment(end, kind), moment(OPEN, kind)).otherwise(F.col(TO))
     inserts = _like(changes.where(F.col(FROM) > moment(begin, kind)).withColumn(TO, clipped), target)
-    return ChangeSet(_plus(result, inserts), inserts, closes)
+    return _tagged(result, (inserts, "I"), inserts=inserts, closes=closes)
 
 
 def merge(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.functions import scalar
-from palimpsest.model import OPEN, ticks
-from palimpsest.operators import control, layout, maintenance, metadata, schema_sync, timemap
+from palimpsest.model import EPOCH, OPEN, ticks
+from palimpsest.operators import control, extract, layout, maintenance, metadata, schema_sync, timemap, transitions
 from palimpsest.plans import matching
 from palimpsest.plans.engine import REGISTRY, Engine, Template, actions, register
 from palimpsest.sources import dialect
@@ -221,6 +221,92 @@ def test_stream_is_the_batch(spark, tmp_path):
     assert store.read("t").where(F.col("__to") == F.lit(OPEN)).count() == 4
 
 
+def test_a_batch_rewrites_open_rows_and_the_months_it_closes_in(spark, tmp_path):
+    source, lake = (Store(spark, f"file://{tmp_path}/{n}") for n in ("source", "lake"))
+    engine, rows = Engine(source, lake), lambda *r: spark.createDataFrame(list(r), "id long, v string")
+    days = [datetime(2024, 1, 5), datetime(2024, 2, 5), datetime(2024, 3, 5), datetime(2024, 3, 6)]
+    manifests = []
+    for k, at in enumerate(days):
+        source.commit("t", rows((1, f"a{k}"), (2, "b"), (10 + k, "new")), key=["id"], form="NON")
+        out = engine.transfer("NON-LAK", at).outcomes[0]
+        assert out.outcome == "Success", out.error
+        assert (out.inserted, out.updated, out.deleted) == ((3, 0, 0) if not k else (2, 2, 1))
+        manifests.append(lake.manifest("t")["parts"])
+    assert sorted(manifests[-1]) == ["2024-02", "2024-03", "open"] and [len(manifests[-1][p]) for p in sorted(manifests[-1])] == [1, 2, 1]
+    assert manifests[1]["2024-02"] == manifests[3]["2024-02"] and manifests[2]["2024-03"][0] == manifests[3]["2024-03"][0]
+    assert lake.read("t").count() == 3 + 3 * 3 and lake.read("t", ["open"]).count() == 6
+    keep = lake.read("t").count()
+    lake.vacuum("t")
+    assert lake.read("t").count() == keep
+    before = lake.manifest("t")["parts"]
+    assert engine.rewind("t", datetime(2024, 3, 5)) == {"deleted": 3, "updated": 2} and lake.manifest("t")["parts"]["2024-02"] == before["2024-02"]
+    # Retention takes whole months from the manifest.
+    assert engine.prune("t", 0, date(2024, 3, 1)) == date(2024, 3, 1) and lake.parts("t") == ["2024-03", "open"]
+    assert lake.read("__complete").first().RetentionDate == datetime(2024, 3, 1)
+
+
+def test_a_batch_over_pieces_and_a_lagging_log(spark, tmp_path):
+    """Monthly pieces are sources of one history; a log is read no further than a second behind the clock; retention bounds extraction."""
+    source, lake, shop = (Store(spark, f"file://{tmp_path}/{n}") for n in ("source", "lake", "shop"))
+    lsns = [(k, datetime(2024, 1, 1, 0, 0, k)) for k in range(1, 31)]
+    times = spark.createDataFrame(lsns, "lsn long, __from timestamp_ntz")
+    log = lambda low, high: spark.createDataFrame([(k % 3, f"v{k}", "x", k, k, 2 if k < low + 3 else 4) for k in range(low, high)], "k long, v string, more string, __start_lsn long, __seqval long, __operation int")
+    lake.create("t", spark.createDataFrame([], "__from timestamp_ntz, __to timestamp_ntz, __load timestamp_ntz, __action string, __source smallint, k long, v string").schema, ["k"], form="LAK")
+    source.commit("t_202401", log(1, 11), key=["k"], form="CDC")
+    source.commit("t_202402", log(11, 31), key=["k"], form="CDC")
+    engine = Engine(source, lake)
+    assert engine.pairs() == {"t": [("t_202401", 2401), ("t_202402", 2402)]}
+    run = engine.transfer("CDC-LAK", datetime(2024, 1, 2), times=times, now=datetime(2024, 1, 1, 0, 0, 21))
+    assert [(o.outcome, o.inserted, o.updated, o.deleted, o.left_out) for o in run.outcomes] == [("Success", 10, 0, 0, ["more"])] * 2, run.outcomes
+    got = lake.read("t")
+    assert {r[0]: r[1] for r in got.groupBy("__source").count().collect()} == {2401: 10, 2402: 10} and got.where("__to >= TIMESTAMP_NTZ '9999-01-01'").count() == 6
+    # The rest of the log comes with a later clock; the first piece has nothing new.
+    run = engine.transfer("CDC-LAK", datetime(2024, 1, 2), times=times, now=datetime(2024, 1, 1, 1))
+    assert [(o.outcome, o.inserted, o.updated) for o in run.outcomes] == [("Pass", 0, 0), ("Success", 10, 3)]
+    want = extract.current(transitions.cdc_history(spark.createDataFrame([], got.schema), log(11, 31), times, ["k"], EPOCH, OPEN, 2402).result)
+    both = [sorted(tuple(r) for r in x.collect()) for x in (extract.current(lake.read("t")).where("__source = 2402"), want)]
+    assert both[0] == both[1] and len(both[0]) == 3
+    assert engine.complete(lake) == datetime(2024, 1, 1, 0, 0, 30)
+    lists = engine.columns()
+    assert lists.columns[0] == "TableName"
+    # A history that was pruned says so, and the window's rows up to that date aren't taken.
+    lake.amend("t", lake.read("t", []), [], RetentionDate="2024-01-01")
+    out = Engine(lake, shop).transfer("LAK-PUB", OPEN, ["t"]).outcomes[0]
+    assert out.outcome == "Success" and shop.read("t").count() == 6, out.error
+
+
+def test_snapshots_wait_for_a_bound_behind_a_layout_change(spark, tmp_path):
+    source, lake = (Store(spark, f"file://{tmp_path}/{n}") for n in ("source", "lake"))
+    source.commit("t", spark.createDataFrame([(1, "a")], "id long, v string"), key=["id"], form="NON")
+    engine = Engine(source, lake)
+    engine.transfer("NON-LAK", datetime(2024, 1, 1))
+    source.commit("t", spark.createDataFrame([(1, "b", 2)], "id long, v string, w int"))
+    engine.sync_schemas("LAK", at=datetime(2024, 1, 10))
+    assert engine.transfer("NON-LAK", datetime(2024, 1, 5)).outcomes[0].outcome == "Pass"
+    assert engine.transfer("NON-LAK", datetime(2024, 1, 11)).outcomes[0].inserted == 1
+
+
+def test_late_changes_of_a_stream_are_kept_aside(spark, tmp_path):
+    schema = "k long, v string, __start_lsn long, __seqval long, __operation int, ts timestamp_ntz"
+    store = Store(spark, f"file://{tmp_path}/s")
+    store.create("t", spark.createDataFrame([], "__from timestamp_ntz, __to timestamp_ntz, __load timestamp_ntz, __action string, __source smallint, k long, v string").schema, ["k"], form="LAK")
+    (tmp_path / "log").mkdir()
+    log = spark.readStream.schema(schema).parquet(f"{tmp_path}/log")
+    for rows in ([(1, "a", 10, 10, 2, datetime(2024, 1, 10)), (2, "b", 11, 11, 2, datetime(2024, 1, 11))], [(1, "old", 5, 5, 4, datetime(2024, 1, 5)), (2, "c", 12, 12, 4, datetime(2024, 1, 12))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        merge_stream(log, store, "t", ["k"], f"file://{tmp_path}/cp").awaitTermination()
+    got = store.read("t")
+    assert got.where("__to <= __from").count() == 0 and {r.v for r in extract.current(got).collect()} == {"a", "c"}
+    assert [r.v for r in store.read("__late_t").collect()] == ["old"]
+
+
+def test_an_open_last_scn_range(spark):
+    ranges = spark.createDataFrame([(datetime(2024, 1, 1), 1, 99), (datetime(2024, 1, 2), 100, 1 << 48)], "scn_dt timestamp_ntz, min_scn long, max_scn long")
+    log = spark.createDataFrame([(5,), (150,), (70_000,)], "lsn long")
+    assert {(r.lsn, r.min_scn, r.max_scn) for r in timemap.scn_map(log, ranges).collect()} == {(5, 1, 99), (150, 100, 1 << 48), (70_000, 100, 1 << 48)}
+    assert timemap.scn_map(log.limit(0), ranges).count() == 0
+
+
 def test_boundaries_by_day(spark):
     values = spark.createDataFrame([(datetime(2024, 1, 1),), (datetime(2024, 1, 3),)], "value timestamp_ntz")
     assert layout.grain(values).first()[0] == "D"
