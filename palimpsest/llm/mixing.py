@@ -38,8 +38,9 @@ WEIGHTS = (5, 2, 1)
 SHARE, MAX_COPIES = 1.5, 2
 #: A row for each pattern is broadcast; MAX_PATTERNS and EXTRAS bound these to some MB.
 MAX_PATTERNS, EXTRAS = 20_000, 8
-#: Hash bits that are summed at a level, and documents behind a cut that are looked at for the extras.
-LEVEL_BITS, LAST_DOCS = 16, 256
+#: Hash bits that are summed at a level (a divisor of 64; a task that finds a pattern's cut reads a row for each of their
+#: values), and documents behind a cut that are looked at for the extras.
+LEVEL_BITS, LAST_DOCS = 8, 256
 
 
 def words_in(text: Column) -> Column:
