@@ -295,7 +295,8 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS,
     placed = clusters.join(found, "node", "left").select("head", "node", F.coalesce("component", "node").alias("component"))
     parts = placed.groupBy("head", "component").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("head").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("parts")).where("parts > 1 AND all > 2")
-    mixed = mixed.select("head", F.col("most.component").alias("largest"), F.col("most.n").alias("n_large"), (F.col("all") - F.col("most.n")).alias("n_rest"))
+    # A table of its own, so that Spark can split the join of a large cluster's nodes: beside an aggregation it can't.
+    mixed = written(mixed.select("head", F.col("most.component").alias("largest"), F.col("most.n").alias("n_large"), (F.col("all") - F.col("most.n")).alias("n_rest")), "mixed")
     more = written(_within(placed.join(mixed, "head").withColumn("large", F.col("component") == F.col("largest")), sets, least), "links")
     dropped(sets)
     freed(spark)
