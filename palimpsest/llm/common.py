@@ -177,6 +177,75 @@ def pieces(batches: Iterable, text: str, most: int = 1 << 20, inside: str | None
     give_back()
 
 
+#: Words whose ids are put together at once.
+JOIN_WORDS = 1 << 18
+
+
+def _lists(flat: np.ndarray, sizes: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Of lists of `sizes` that follow each other in `flat`, the k-th ones one after the other."""
+    first, out = np.cumsum(sizes) - sizes, [flat[:0]]
+    for a in range(0, len(k), JOIN_WORDS):
+        part = k[a : a + JOIN_WORDS]
+        end = np.cumsum(sizes[part])
+        out.append(flat[np.repeat(first[part] - end + sizes[part], sizes[part]) + np.arange(end[-1])])
+    return np.concatenate(out)
+
+
+class Kept:
+    """Ids (32 bits) of words, each encoded once for as long as it is kept. Words are looked up and their ids put together by
+    Arrow and numpy; only words that aren't kept become Python objects.
+
+    encode: lists of words to the bytes of their ids, or None for a word that can't be had. Beyond `most` words only those
+    stay that come up again in the call; words of more than `longest` characters aren't kept.
+    """
+
+    def __init__(self, encode, most: int, longest: int):
+        import pyarrow as pa
+
+        self.encode, self.most, self.longest = encode, most, longest
+        self.words, self.flat = pa.array([], pa.large_string()), np.empty(0, np.uint32)
+        self.sizes, self.lacks = np.empty(0, np.int64), np.empty(0, bool)
+
+    def ids(self, rows: list[str | None]) -> tuple[list[bytes], np.ndarray]:
+        """(The ids of the words of each row, which is cut at every space; the rows with a word that can't be had).
+
+        A null row has no word, an empty one an empty word."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.split_pattern(pa.array(rows, pa.large_string()), " ")
+        words, begins = lists.flatten(), lists.offsets.to_numpy()
+        at = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy()
+        unknown = np.flatnonzero(at < 0)
+        new = words.take(pa.array(unknown)).dictionary_encode()
+        new, number = new.dictionary, new.indices.to_numpy()
+        if len(self.words) > self.most:
+            # Words that have come up before, and do again, are the common ones.
+            stay, number_of = np.unique(at, return_inverse=True)
+            gone = int(len(stay) > 0 and stay[0] < 0)
+            self._only(stay[gone:])
+            at = number_of.reshape(-1) - gone
+        at = at.astype(np.int64)
+        at[unknown] = len(self.words) + number
+        found = self.encode(new.to_numpy(zero_copy_only=False).tolist()) if len(new) else []
+        self.words = pa.concat_arrays([self.words, new])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join([f or b"" for f in found]), np.uint32)])
+        self.sizes = np.concatenate([self.sizes, np.array([len(f or b"") // 4 for f in found], np.int64)])
+        self.lacks = np.concatenate([self.lacks, np.array([f is None for f in found], bool)])
+        ends = np.concatenate([[0], np.cumsum(self.sizes[at])])[begins]
+        raw, cuts = _lists(self.flat, self.sizes, at).tobytes(), (4 * ends).tolist()
+        lacking = np.unique(np.searchsorted(begins, np.flatnonzero(self.lacks[at]), "right") - 1)
+        if len(new) and pc.max(pc.utf8_length(new)).as_py() > self.longest:
+            self._only(np.flatnonzero(pc.less_equal(pc.utf8_length(self.words), self.longest).to_numpy(zero_copy_only=False)))
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], lacking
+
+    def _only(self, k: np.ndarray) -> None:
+        import pyarrow as pa
+
+        self.words, self.flat = self.words.take(pa.array(k, pa.int64())), _lists(self.flat, self.sizes, k)
+        self.sizes, self.lacks = self.sizes[k], self.lacks[k]
+
+
 def give_back() -> None:
     """Returns freed memory to the system, as an idle worker would keep it beside the next one's."""
     import ctypes

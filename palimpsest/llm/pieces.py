@@ -2,7 +2,8 @@
 
 The model's protobuf is read field by field, and its normaliser, white-space marker, scores (unigram) or merges (BPE) and
 byte fallback are rebuilt as a tokenizers pipeline. Where no piece continues over a marker, a normalised text is cut before
-each marker and every distinct word is encoded once for as long as a worker keeps it; else texts are encoded whole.
+each marker and every distinct word is encoded once for as long as a worker keeps it (for BPE, ROW_WORDS new words at a time);
+else texts are encoded whole.
 Batches run on several threads. Each document's ids are held against the sentencepiece library's; should they differ, the
 library's are given and `parity` is false.
 
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, small_batches
+from .common import Kept, pieces, small_batches
 
 # Fixed values of the model file's schema: kinds of piece and of model.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -33,6 +34,7 @@ MARK = "▁"
 THREADS = 2
 KEPT_WORDS, KEPT_CHARS = 300_000, 32
 SLICE_BYTES = 1 << 20
+ROW_WORDS = 64
 
 
 def fields(data: bytes):
@@ -142,7 +144,8 @@ class Codec:
         self.tokenizer, self.normalizer, self.cuts = build(m)
         # Without a character map or squeezing, normalising is these two string operations.
         self.lead = None if m.charsmap or m.squeeze else MARK * m.dummy_prefix
-        self.kept: dict[str, bytes] = {}
+        self.kept = Kept(self._new, KEPT_WORDS, KEPT_CHARS)
+        self.kind, self.marked = m.kind, np.array([kind in (NORMAL, USER_DEFINED) and p.startswith(MARK) for p, _, kind in m.pieces])
         # An ASCII byte is a character; other bytes, and control pieces, are left to the library's decoder.
         byte = [int(p[3:5], 16) if kind == BYTE else None for p, _, kind in m.pieces]
         self.table = [p.replace(MARK, " ") if b is None else chr(b) for (p, _, _), b in zip(m.pieces, byte, strict=True)]
@@ -156,34 +159,41 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[array.array]:
         """Ids as array('I'). `kept` has the ids of words that recur, by the word without its first marker."""
-        parts = [self._words(t) for t in texts]
-        used = set().union(*parts)
-        new = list(used.difference(self.kept))
-        if len(self.kept) > KEPT_WORDS:
-            # Words that have come up before, and do again, are the common ones.
-            self.kept = {w: self.kept[w] for w in used.difference(new)}
-        kept, lead = self.kept, MARK if self.cuts else ""
-        for a in range(0, len(new), 4096):
-            batch = new[a : a + 4096]
-            for w, e in zip(batch, self.tokenizer.encode_batch_fast([lead + w for w in batch], add_special_tokens=False), strict=True):
-                kept[w] = array.array("I", e.ids).tobytes()
-        out = [array.array("I", b"".join([kept[w] for w in ws])) for ws in parts]
-        for w in new:
-            if len(w) > KEPT_CHARS:
-                del kept[w]
-        return out
-
-    def _words(self, text: str) -> list[str]:
-        """What stands behind each run's first marker; the whole normalised text if it can't be cut."""
+        return [array.array("I", i) for i in self.kept.ids([self._words(t) for t in texts])[0]]
+
+    def _new(self, words: list[str]) -> list[bytes]:
+        """The ids of words. A BPE merge never goes over a marker, so words are encoded many in a row: of its tokens those that
+        begin with a marker begin a word."""
+        rowed = [w for w in words if w and MARK not in w] if self.cuts and self.kind == BPE else []
+        rows = [rowed[a : a + ROW_WORDS] for a in range(0, len(rowed), ROW_WORDS)]
+        found: dict[str, bytes] = {}
+        for row, ids in zip(rows, self._batch([MARK + MARK.join(r) for r in rows]), strict=True):
+            begins = np.flatnonzero(self.marked[ids])
+            if len(begins) == len(row):
+                raw, cuts = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+                found.update(zip(row, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        rest, lead = [w for w in words if w not in found], MARK if self.cuts else ""
+        found.update(zip(rest, [ids.tobytes() for ids in self._batch([lead + w for w in rest])], strict=True))
+        return [found[w] for w in words]
+
+    def _batch(self, texts: list[str]):
+        for a in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[a : a + 4096], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
+
+    def _words(self, text: str) -> str | None:
+        """What stands behind each run's first marker, with a space between; the whole normalised text if it can't be cut.
+
+        A normalised text has no spaces. Without any word there is nothing."""
         if not text:
-            return []
-        if self.cuts and self.lead == MARK and MARK not in text and "" not in (words := text.split(" ")):
-            return words
+            return None
+        if self.cuts and self.lead == MARK and MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return text
         text = self.normalize(text)
         if not self.cuts or not text.startswith(MARK):
             if self.cuts and text:
                 raise ValueError("a normalised text begins without a marker")
-            return [text] if text else []
+            return text or None
         words, lead = [], ""
         # A run of markers stays together with the word behind it.
         for w in text.split(MARK)[1:]:
@@ -192,7 +202,7 @@ class Codec:
                 lead = ""
             else:
                 lead += MARK
-        return [*words, lead[1:]] if lead else words
+        return " ".join([*words, lead[1:]] if lead else words)
 
     def decode(self, ids: list[array.array]) -> list[str]:
         """Pieces put together by the model's table; where several bytes make a character, by the library's decoder."""

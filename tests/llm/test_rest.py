@@ -281,6 +281,25 @@ def test_codec_on_odd_texts():
     assert ours.decode(got) == library.decode(want)
 
 
+def test_new_words_are_encoded_many_in_a_row():
+    import sentencepiece
+
+    ours, library, calls = pieces.Codec(BPE_MODEL), sentencepiece.SentencePieceProcessor(model_file=BPE_MODEL), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **more):
+            calls.extend(texts)
+            return self.inner.encode_batch_fast(texts, **more)
+
+    ours.tokenizer = Counted(ours.tokenizer)
+    texts = [" ".join(f"wörd{i}x{k}." for k in range(100)) for i in range(10)]
+    assert [i.tolist() for i in ours.encode(texts)] == library.encode(texts)
+    assert len(calls) <= 20
+
+
 def test_pieces_odd_rows(spark, odd, nothing):
     rows = pieces.encode_pieces(odd, BPE_MODEL).collect()
     assert len(rows) == odd.count() and all(r.parity and r.n_tokens == len(r.ids) for r in rows)
