@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fs_of, scratch
+from .common import Kept, fs_of, scratch
 
 # Fixed values of the zstandard seekable format.
 SKIPPABLE_DIRECTORY = 0x184D2A50
@@ -69,44 +69,31 @@ class Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)
-        self.kept: dict[str, bytes | None] = {}
+        self.kept = Kept(self._pieces, CACHED_PIECES, CACHED_CHARS)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        used = set().union(*filter(None, cut))
-        new = used.difference(self.kept)
-        if len(self.kept) > CACHED_PIECES:
-            # Pieces that have come up before, and do again, are the common ones.
-            self.kept = {p: self.kept[p] for p in used.difference(new)}
-        kept = self.kept
-        kept.update(self._pieces(new))
-        out, whole = [], []
-        for i, ps in enumerate(cut):
-            try:
-                out.append(b"".join([kept[p] for p in ps]) if texts[i] else b"")
-            except TypeError:
-                # No cut was made, or a piece says that there should have been none.
-                out.append(b"")
-                whole.append(i)
+        rows = [self._cut(t) if t else None for t in texts]
+        out, wrong = self.kept.ids(rows)
+        # No cut was made, or a piece says that there should have been none.
+        whole = sorted({*wrong.tolist(), *(i for i, r in enumerate(rows) if r is None and texts[i])})
         for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
             out[i] = array.array("I", e.ids).tobytes()
-        for p in [p for p in new if len(p) > CACHED_CHARS]:
-            del kept[p]
         return out
 
     @staticmethod
-    def _cut(text: str) -> list[str] | None:
+    def _cut(text: str) -> str | None:
+        """The text with a space at each cut; nothing if it has to be encoded whole."""
         if not text.isascii() and MARKED.search(text):
             return None
         if not NOT_CUT.search(text):
             text = text.replace(".\n", f" {DOT_LINE} {GLUED}").replace(". ", f" {DOT} ").replace(",", f" {COMMA}")
-        return (GLUED + text).split(" ")
+        return GLUED + text
 
-    def _pieces(self, new: set[str]) -> dict[str, bytes | None]:
+    def _pieces(self, new: list[str]) -> list[bytes | None]:
         """The ids of each piece; None for one that shows that its text can't be cut."""
         found: dict[str, bytes | None] = {}
         glued = [p for p in new if not p or p[0] in MARKS]
-        spaced = list(new.difference(glued))
+        spaced = [p for p in new if p and p[0] not in MARKS]
         for a in range(0, len(glued), 4096):
             part = []
             for p in glued[a : a + 4096]:
@@ -135,7 +122,7 @@ class Encoder:
                 raise ValueError("the tokens of the pieces don't add up")
             raw, cuts = ids.tobytes(), (4 * cuts).tolist()
             found.update(zip(part, [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)], strict=True))
-        return found
+        return [found[p] for p in new]
 
     @staticmethod
     def _text(piece: str) -> str:

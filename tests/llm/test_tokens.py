@@ -1,13 +1,14 @@
 import io
 import random
 import subprocess
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 
-from palimpsest.llm import tokens
+from palimpsest.llm import common, tokens
 from palimpsest.llm.common import scratch
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +43,42 @@ def test_pieces_are_dropped_without_harm(tokenizer, monkeypatch):
             assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_that_recur_do_not_become_objects(monkeypatch):
+    """A call makes Python objects of the pieces that are new, not of each place where a piece stands."""
+    pieces, made = tokens.Encoder._pieces, []
+
+    def counted(self, new):
+        made.append((sys.getallocatedblocks() - before, len(new)))
+        return pieces(self, new)
+
+    monkeypatch.setattr(tokens.Encoder, "_pieces", counted)
+    encode = tokens.Encoder(PATH)
+    texts = [" ".join(f"word{(i * 7 + k) % 100}" for k in range(2000)) for i in range(50)]
+    before = sys.getallocatedblocks()
+    encode(texts)
+    [(blocks, new)] = made
+    assert 100 <= new <= 200 and blocks < 10_000
+
+
+def test_kept_words_against_a_plain_encoding():
+    rng, asked = random.Random(9), []
+
+    def encode(words):
+        asked.extend(words)
+        return [None if "?" in w else np.arange(len(w), dtype=np.uint32).tobytes() for w in words]
+
+    kept = common.Kept(encode, 30, 6)
+    word = lambda: rng.choice(["", "é日", "?", "x" * rng.randint(1, 9), "y" * rng.randint(1, 9), str(rng.randint(0, 60))])
+    for _ in range(60):
+        rows = [rng.choice([None, " ".join(word() for _ in range(rng.randint(1, 12)))]) for _ in range(rng.randint(0, 9))]
+        asked.clear()
+        out, lacking = kept.ids(rows)
+        words = [r.split(" ") if r is not None else [] for r in rows]
+        assert out == [b"".join(np.arange(0 if "?" in w else len(w), dtype=np.uint32).tobytes() for w in ws) for ws in words]
+        assert lacking.tolist() == [i for i, ws in enumerate(words) if "?" in "".join(ws)]
+        assert len(asked) == len(set(asked)) and len(kept.words) <= 30 + 9 * 12 and all(len(w) <= 6 for w in kept.words.to_pylist())
+
+
 def test_file_is_plain_zstandard_with_random_access(monkeypatch):
     import zstandard
 
