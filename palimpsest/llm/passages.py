@@ -1,8 +1,9 @@
 """Passages of PASSAGE_WORDS words or more that start at two places, in any documents or one.
 
 Words are runs of anything but ASCII white space, so line breaks within a passage don't matter. Runs of windows of
-PASSAGE_WORDS words are named by their anchor, the GRAM_WORDS words in them of the least hash; the windows of runs that share
-a name with others are then counted by two independent 64-bit hashes.
+PASSAGE_WORDS words are named by their anchor, the GRAM_WORDS words in them of the least hash, and the words on its longer side
+that all windows of the run have; the windows of runs that share a name with others are then counted by two independent 64-bit
+hashes.
 
 The words of a text beyond SEGMENT_BYTES are taken in segments that overlap by a window.
 """
@@ -60,7 +61,7 @@ def word_runs(texts: list[bytes]):
     """The runs of all texts, in lots."""
     for number, first, base, words in _lots(texts):
         sums = _sums(words, BASE)
-        text, at, windows, key, _ = window_runs(sums, base, PASSAGE_WORDS, GRAM_WORDS, sides=False)
+        text, at, windows, key, _ = window_runs(sums, base, PASSAGE_WORDS, GRAM_WORDS)
         # Apart from the keys of byte strings.
         key = mix(key.view(U64) ^ U64(PASSAGE_WORDS)).view(np.int64)
         yield WordRuns(number[text], at - base[text] + first[text], windows, key, at, words, sums)

@@ -38,7 +38,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BASE, INVERSE, U64, bytes_of, dropped, freed, mix, pieces, written
@@ -284,9 +284,9 @@ def _told(part, seen: Seen, length: int, text: np.ndarray, place: np.ndarray, h1
 
 def _there_twice(windows: DataFrame) -> DataFrame:
     """windows: _WINDOW, a written table. id, row, begin, end of what is there twice."""
-    once = windows.where("kind < 2")
-    twice = once.groupBy("h1", "h2").agg(F.sum(F.col("kind") + 1).alias("n")).where("n > 1").select("h1", "h2")
-    found = windows.where("kind = 0").join(twice, ["h1", "h2"], "left_semi").unionByName(windows.where("kind = 2"))
+    # Windows move once, as they are most of what the disk holds then; none has more rows than there are tasks.
+    n = F.sum(F.col("kind") + 1).over(Window.partitionBy("h1", "h2"))
+    found = windows.where("kind < 2").withColumn("n", n).where("kind = 0 AND n > 1").drop("n").unionByName(windows.where("kind = 2"))
     return found.select("id", "row", F.col("place").alias("begin"), F.col("stop").alias("end"))
 
 
@@ -438,13 +438,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     freed(docs.sparkSession)
     one = long.select("id", "row", "text")
     chosen = one.join(asked, same(one, asked)).groupBy(one["row"], one["id"]).agg(F.first("text").alias("text"), F.first("places").alias("places")).select("id", "row", "text", "places")
-    none = spark.createDataFrame([], "id long, row long, begin long, end long")
+    words = spark.createDataFrame([], "id long, row long, begin long, end long")
     if passages:
-        # Read twice.
+        # Read twice. Each table goes before the next large one is made, as together they are what the disk has to hold.
         chosen = written(chosen, "chosen")
-    words = _there_twice(written(_repeated_words(chosen), "words")) if passages else none
+        dropped(asked)
+        freed(docs.sparkSession)
+        counted = written(_repeated_words(chosen), "words")
+        words = written(_there_twice(counted), "passages")
+        dropped(counted)
+        freed(docs.sparkSession)
     blocks = written(_blocks(chosen), "blocks")
-    dropped(asked)
+    dropped(chosen if passages else asked)
     freed(docs.sparkSession)
     known = blocks.where("bytes IS NULL").select("id", "row", F.col("place").alias("begin"), (F.col("place") + F.col("hash")).alias("end"))
     sent = blocks.where("bytes IS NOT NULL")
@@ -468,4 +473,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), passages=True)
