@@ -57,11 +57,17 @@ def delete(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+#: On local disks Hadoop starts a process (chmod) for each folder, file and checksum file that a task makes. Until it runs a
+#: program of its own, it shares the memory of the executor, and may be counted beside it. So there are no checksum files:
+#: the pages of a table have checksums of their own, which are held against them in every read.
+BARE = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: the lineage ends there, so a lost executor costs only reads."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(compression="zstd", **(BARE if path.startswith("file:") else {})).parquet(path)
+    return df.sparkSession.read.schema(df.schema).option("parquet.page.verify-checksum.enabled", "true").parquet(path)
 
 
 def dropped(*tables: DataFrame) -> None:
@@ -104,7 +110,7 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2**64, kept between calls."""
+    """base ** 0 .. base ** (n - 1) modulo 2**64, kept between calls of a task."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, 1 << 16, 0 if have is None else min(2 * len(have), 1 << 20))
@@ -252,6 +258,7 @@ def give_back() -> None:
 
     import pyarrow as pa
 
+    _powers.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

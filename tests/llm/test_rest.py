@@ -365,3 +365,29 @@ def test_entry_lists_the_operators():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
     assert [n for n in range(1, 11) if sum(x.startswith(f"op{n}_") for x in names) != 1] == [] and "pipeline" in names
+
+
+# ---- scratch tables ----
+
+
+def test_scratch_tables_have_no_checksum_files_and_damage_is_found(spark):
+    from pathlib import Path
+
+    from palimpsest.llm.common import written
+
+    table = written(spark.range(100_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")), "damaged")
+    files = [Path(f.removeprefix("file:").replace("//", "/")) for f in table.inputFiles()]
+    assert table.count() == 100_000 and files and not [p for p in files[0].parent.iterdir() if p.name.endswith(".crc")]
+    data = bytearray(files[0].read_bytes())
+    data[len(data) // 2] ^= 1
+    files[0].write_bytes(data)
+    with pytest.raises(Exception, match="(?i)crc|checksum"):
+        table.agg(F.sum(F.xxhash64("id", "text"))).collect()
+
+
+def test_idle_workers_keep_no_powers():
+    from palimpsest.llm import common
+
+    assert len(common.powers(common.BASE, 10)) == 10
+    common.give_back()
+    assert not common._powers
